@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -38,3 +39,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     return os.path.join(tempfile.gettempdir(), "cellstar-checkpoints")
+
+
+_WRITTEN: dict[str, StructType] = {}
+
+
+def written_once(name: str, rows: DataFrame) -> DataFrame:
+    """``rows`` as a table in the shared folder, written on first use in this session.
+
+    Unlike a cached DataFrame it survives the loss of an executor, and unlike a
+    checkpoint it keeps column pruning and lets Spark know its size.
+    """
+    spark = rows.sparkSession
+    path = f"{checkpoint_dir(spark)}/cellstar-{spark.sparkContext.applicationId}/{name}"
+    if path not in _WRITTEN:
+        rows.write.mode("overwrite").parquet(path)
+        _WRITTEN[path] = rows.schema
+    return spark.read.schema(_WRITTEN[path]).parquet(path)

@@ -5,11 +5,14 @@ Every input reads its tables whole; the oracle module states the same in SQL.
 
 from __future__ import annotations
 
+import hashlib
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cellstar.session import written_once
+
 AS_OF = datetime(2024, 1, 31)
 
 
@@ -205,6 +208,12 @@ class Inputs:
 
     @property
     def grid(self) -> DataFrame:
+        """The sheets as an ingestion leaves them: written, then read by every later step."""
+        name = f"grid-{hashlib.md5(self.folder.encode()).hexdigest()}"
+        return written_once(name, self.sheets)
+
+    @property
+    def sheets(self) -> DataFrame:
         """One workbook per region, one sheet per nation, and a sheet without data.
 
         Row 0 is a title, row 1 the header: ``Indicator``, an empty ``Notes`` column, the

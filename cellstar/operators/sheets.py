@@ -93,7 +93,7 @@ def header_names(headers: DataFrame, profile: DataFrame) -> DataFrame:
         .withColumn("text", blank_to_null(F.col("text")))
     )
     seen = F.row_number().over(Window.partitionBy(*SHEET, "text").orderBy("col_idx")) - 1
-    numbered = F.when(seen > 0, F.concat_ws("_", "text", seen.cast("string"))).otherwise(F.col("text"))
+    numbered = F.when(seen > 0, F.concat("text", F.lit("_"), seen.cast("string"))).otherwise(F.col("text"))
     positional = F.concat(F.lit("col_"), F.col("col_idx").cast("string"))
     return cells.select(
         *SHEET,

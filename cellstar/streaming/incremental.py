@@ -13,6 +13,9 @@ from cellstar.plans import pipeline
 from cellstar.sources import files
 from cellstar.sources.store import Store
 
+# What the binary file source delivers.
+FILE_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
+
 
 def ingest_available(
     store: Store, folder: str, checkpoint: str, pattern: str = "*.xlsx", files_per_batch: int = 1000
@@ -24,6 +27,7 @@ def ingest_available(
     """
     arrived = (
         store.spark.readStream.format("binaryFile")
+        .schema(FILE_SCHEMA)
         .option("pathGlobFilter", pattern)
         .option("maxFilesPerTrigger", files_per_batch)
         .load(folder)

@@ -192,6 +192,12 @@ def with_clean_values(long: DataFrame) -> DataFrame:
     )
 
 
+def measured_cells(long: DataFrame) -> DataFrame:
+    """Non-empty cells; those that are no number keep their text and have no value."""
+    parsed = with_clean_values(drop_empty_values(long))
+    return parsed.withColumn("text", F.when(F.col("value").isNull(), F.col("text")))
+
+
 def clean(long: DataFrame) -> DataFrame:
     """Measurements whose value could be read."""
     return with_clean_values(drop_empty_values(long)).where(F.col("value").isNotNull()).drop("text")

@@ -116,12 +116,14 @@ def completeness_gate(long: DataFrame, table_name: str = "fact_indicator_values"
     return _metric_rows(counts, rows, table_name)
 
 
-def referential_integrity(facts: DataFrame, table_name: str = "fact_indicator_values") -> DataFrame:
-    """Metric row: facts without an indicator or a date."""
-    orphan = F.col("indicator_id").isNull() | F.col("date_id").isNull()
-    counts = facts.agg(F.count_if(orphan).alias("orphans"))
+def orphan() -> Column:
+    """A fact without an indicator or a date."""
+    return F.col("indicator_id").isNull() | F.col("date_id").isNull()
+
+
+def _integrity_row() -> Column:
     clean = F.col("orphans") == 0
-    row = metric(
+    return metric(
         "warehouse_referential_integrity",
         "consistency",
         None,
@@ -131,34 +133,55 @@ def referential_integrity(facts: DataFrame, table_name: str = "fact_indicator_va
         failures=F.col("orphans"),
         details=F.to_json(F.struct(F.col("orphans").alias("orphan_records"))),
     )
-    return _metric_rows(counts, [row], table_name)
 
 
-def load_volume(
-    facts: DataFrame, indicators: DataFrame, dates: DataFrame, table_name: str = "fact_indicator_values"
-) -> DataFrame:
-    """Metric row: the warehouse holds at least one fact."""
-    counts = facts.agg(F.count(F.lit(1)).alias("facts")).select(
-        "facts",
-        indicators.agg(F.count(F.lit(1))).scalar().alias("indicators"),
-        dates.agg(F.count(F.lit(1))).scalar().alias("periods"),
+def _volume_row() -> Column:
+    counts = F.struct(
+        F.col("facts").alias("fact_records"), F.col("indicators"), F.col("periods").alias("time_periods")
     )
-    row = metric(
+    return metric(
         "warehouse_fact_count",
         "consistency",
         None,
         passed=F.col("facts") > 0,
         value=F.col("facts").cast("double"),
         threshold=1.0,
-        details=F.to_json(
-            F.struct(
-                F.col("facts").alias("fact_records"),
-                F.col("indicators"),
-                F.col("periods").alias("time_periods"),
-            )
-        ),
+        details=F.to_json(counts),
+    )
+
+
+def _with_dimension_sizes(counts: DataFrame, indicators: DataFrame, dates: DataFrame) -> DataFrame:
+    return counts.select(
+        "*",
+        indicators.agg(F.count(F.lit(1))).scalar().alias("indicators"),
+        dates.agg(F.count(F.lit(1))).scalar().alias("periods"),
+    )
+
+
+def referential_integrity(facts: DataFrame, table_name: str = "fact_indicator_values") -> DataFrame:
+    """Metric row: no fact is an orphan."""
+    counts = facts.agg(F.count_if(orphan()).alias("orphans"))
+    return _metric_rows(counts, [_integrity_row()], table_name)
+
+
+def load_volume(
+    facts: DataFrame, indicators: DataFrame, dates: DataFrame, table_name: str = "fact_indicator_values"
+) -> DataFrame:
+    """Metric row: the warehouse holds at least one fact."""
+    counts = facts.agg(F.count(F.lit(1)).alias("facts"))
+    return _metric_rows(_with_dimension_sizes(counts, indicators, dates), [_volume_row()], table_name)
+
+
+def committed_checks(
+    loads: DataFrame, indicators: DataFrame, dates: DataFrame, table_name: str = "fact_indicator_values"
+) -> DataFrame:
+    """Both checks from the counts kept per committed file, without reading a fact."""
+    counts = loads.agg(
+        F.coalesce(F.sum("fact_count"), F.lit(0)).cast("bigint").alias("facts"),
+        F.coalesce(F.sum("orphan_count"), F.lit(0)).cast("bigint").alias("orphans"),
     )
-    return _metric_rows(counts, [row], table_name)
+    rows = [_integrity_row(), _volume_row()]
+    return _metric_rows(_with_dimension_sizes(counts, indicators, dates), rows, table_name)
 
 
 def _metric_rows(counts: DataFrame, rows: list[Column], table_name: str) -> DataFrame:

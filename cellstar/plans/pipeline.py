@@ -9,6 +9,8 @@ nothing.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +26,16 @@ PIPELINE = "sheet_etl"
 SHEET = sheets.SHEET
 
 
+def together(*jobs: Callable[[], object]) -> list:
+    """Run independent Spark jobs side by side, so that short ones do not wait in line.
+
+    Two jobs must not append to the same table: their commits would meet in one folder.
+    """
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        started = [pool.submit(job) for job in jobs]
+        return [job.result() for job in started]
+
+
 def _of(store: Store, table: str, load_id: str) -> DataFrame:
     return store.read(table).where(F.col("load_id") == load_id)
 
@@ -52,13 +64,13 @@ def ingest(store: Store, content: DataFrame, load_id: str, force: bool = False)
         store.append("grid", grid.withColumn("load_id", F.lit(load_id)))
 
         written = _of(store, "grid", load_id)
-        found = not errors.isEmpty()
-        if found:
-            run.log_checks(error_metrics(errors, "ingestion_success", "raw"))
-        run.log_checks(raw_metrics(written))
-        run.track_lineage(raw_lineage(written))
-        rows = written.count()
-        if not rows and found:
+        rows, failed, *_ = together(
+            written.count,
+            lambda: not errors.isEmpty(),
+            lambda: run.log_checks(error_metrics(errors, "ingestion_success", "raw").unionByName(raw_metrics(written), True)),
+            lambda: run.track_lineage(raw_lineage(written)),
+        )
+        if failed and not rows:
             raise RuntimeError("all files failed to process")
 
         now = hashed.select(
@@ -78,8 +90,11 @@ def ingest_csv(store: Store, folder: str, load_id: str, **options) -> DataFrame:
         grid = csv_sheets.read_raw_csv(store.spark, folder, **options)
         store.append("grid", grid.withColumn("load_id", F.lit(load_id)))
         written = _of(store, "grid", load_id)
-        run.log_checks(raw_metrics(written))
-        rows = written.count()
+        rows, *_ = together(
+            written.count,
+            lambda: run.log_checks(raw_metrics(written)),
+            lambda: run.track_lineage(raw_lineage(written)),
+        )
         run.complete("success", records_input=rows, records_processed=rows, records_loaded=rows)
     return written.select("source_file").distinct()
 
@@ -176,33 +191,35 @@ def transform(store: Store, load_id: str, fallback: bool = False) -> None:
         # Written first: Spark then knows how small the layouts are and joins accordingly.
         layouts = store.staged(f"{load_id}-layouts", sheets.layout_of(grid, fallback))
 
-        measured = sheets.unpivot(grid, layouts)
-        store.append("long", sheets.clean(measured).withColumn("load_id", F.lit(load_id)))
-        store.append("rejected", sheets.rejected(measured).withColumn("load_id", F.lit(load_id)))
+        cells = sheets.measured_cells(sheets.unpivot(grid, layouts))
+        store.append("long", cells.withColumn("load_id", F.lit(load_id)))
 
-        long, refused = _of(store, "long", load_id), _of(store, "rejected", load_id)
+        written = _of(store, "long", load_id)
+        long = written.where(F.col("value").isNotNull())
         idle = sheets.sheets_without_data(grid, long).withColumn("error", F.lit("no valid data"))
-        run.log_checks(error_metrics(idle, "transform_success", "transform"))
-        run.log_checks(quality.domain_metrics(long.select("indicator", "year_label", "value"), f"transform_{load_id}"))
-        run.track_lineage(clean_lineage(layouts))
-        good, bad = long.count(), refused.count()
+        measured = quality.domain_metrics(long.select("indicator", "year_label", "value"), f"transform_{load_id}")
+        counts, *_ = together(
+            written.agg(F.count(F.lit(1)).alias("read"), F.count("value").alias("kept")).first,
+            lambda: run.log_checks(error_metrics(idle, "transform_success", "transform").unionByName(measured, True)),
+            lambda: run.track_lineage(clean_lineage(layouts)),
+        )
         run.complete(
             "success",
-            records_input=good + bad,
-            records_processed=good,
-            records_loaded=good,
-            records_rejected=bad,
+            records_input=counts.read,
+            records_processed=counts.kept,
+            records_loaded=counts.kept,
+            records_rejected=counts.read - counts.kept,
         )
 
 
 def load(store: Store, load_id: str, locations: DataFrame | None = None) -> None:
     """Cleaned measurements of a load into the star schema, committed file by file."""
     with Run(store, PIPELINE, "load", metadata={"load_id": load_id}) as run:
-        long = _of(store, "long", load_id)
-        run.log_checks(warehouse.completeness_gate(long))
-
-        store.append("dim_indicator", warehouse.new_indicators(long, store.read("dim_indicator")))
-        store.append("dim_date", warehouse.new_dates(long, store.read("dim_date")))
+        long = _of(store, "long", load_id).where(F.col("value").isNotNull()).drop("text")
+        together(
+            lambda: store.append("dim_indicator", warehouse.new_indicators(long, store.read("dim_indicator"))),
+            lambda: store.append("dim_date", warehouse.new_dates(long, store.read("dim_date"))),
+        )
         indicators, dates = store.read("dim_indicator"), store.read("dim_date")
 
         last = store.read("file_loads").agg(F.coalesce(F.max("max_fact_id"), F.lit(0))).scalar()
@@ -222,32 +239,37 @@ def load(store: Store, load_id: str, locations: DataFrame | None = None) -> None
 
         written = _of(store, "facts", load_id)
         commit(store, load_id, written)
-        live = store.live("facts")
-        run.log_checks(warehouse.referential_integrity(live))
-        run.log_checks(warehouse.load_volume(live, indicators, dates))
-        run.track_lineage(
-            _hop(
-                written.select("source_file").distinct(), "fact_indicator_values", "value", F.lit("value"),
-                "Loaded from cleaned measurements", "direct_copy",
-            )
+        checked = warehouse.committed_checks(store.live_loads(), indicators, dates)
+        done = store.read("file_loads").where(F.col("load_id") == load_id)
+        hops = _hop(
+            done, "fact_indicator_values", "value", F.lit("value"), "Loaded from cleaned measurements", "direct_copy"
+        )
+        (n,), *_ = together(
+            done.agg(F.coalesce(F.sum("fact_count"), F.lit(0))).first,
+            lambda: run.log_checks(warehouse.completeness_gate(long).unionByName(checked)),
+            lambda: run.track_lineage(hops),
         )
-        n = written.count()
         run.complete("success", records_input=n, records_processed=n, records_loaded=n)
 
 
 def commit(store: Store, load_id: str, written: DataFrame) -> None:
-    """Make this load the live one of every file it holds, also of files left without facts."""
+    """Make this load the live one of every file it holds, also of files left without facts.
+
+    Counts are kept per file, so later checks need not read the facts again.
+    """
     read = _of(store, "grid", load_id).select("source_file").distinct()
-    last = written.groupBy("source_file").agg(F.max("fact_id").alias("max_fact_id"))
+    counted = written.groupBy("source_file").agg(
+        F.count(F.lit(1)).alias("fact_count"),
+        F.count_if(warehouse.orphan()).alias("orphan_count"),
+        F.max("fact_id").alias("max_fact_id"),
+    )
     hashes = store.registry().select(F.col("file_path").alias("source_file"), "file_hash")
     store.append(
         "file_loads",
-        read.join(last, "source_file", "left")
+        read.join(counted, "source_file", "left")
         .join(hashes, "source_file", "left")
-        .select(
-            "source_file", "file_hash", F.lit(load_id).alias("load_id"), "max_fact_id",
-            F.current_timestamp().alias("loaded_at"),
-        ),
+        .withColumn("load_id", F.lit(load_id))
+        .withColumn("loaded_at", F.current_timestamp()),
     )
 
 

@@ -22,6 +22,7 @@ GRID = _schema(
     ("cells", T.ArrayType(_S, True)),
 )
 
+# One record per non-empty value cell. ``text`` is kept only where it is no number.
 LONG = _schema(
     ("source_file", _S),
     ("sheet", _S),
@@ -31,6 +32,7 @@ LONG = _schema(
     ("year_label", _S),
     ("period_label", _S),
     ("value", _D),
+    ("text", _S),
 )
 
 DIM_DATE = _schema(("date_id", _L), ("year", _I), ("period_label", _S), ("date_value", T.DateType()))
@@ -51,7 +53,13 @@ FACT = _schema(
 )
 # One row per (source file, committed load); the newest row of a file is the live one.
 FILE_LOADS = _schema(
-    ("source_file", _S), ("file_hash", _S), ("load_id", _S), ("max_fact_id", _L), ("loaded_at", _TS)
+    ("source_file", _S),
+    ("file_hash", _S),
+    ("load_id", _S),
+    ("fact_count", _L),
+    ("orphan_count", _L),
+    ("max_fact_id", _L),
+    ("loaded_at", _TS),
 )
 
 # Append-only log: one 'start' and at least one 'complete' event per run.

@@ -19,10 +19,6 @@ from cellstar import schemas
 TABLES: dict[str, StructType] = {
     "grid": StructType([*schemas.GRID.fields, StructField("load_id", StringType())]),
     "long": StructType([*schemas.LONG.fields, StructField("load_id", StringType())]),
-    "rejected": StructType(
-        [f for f in schemas.LONG.fields if f.name != "value"]
-        + [StructField("text", StringType()), StructField("load_id", StringType())]
-    ),
     "dim_date": schemas.DIM_DATE,
     "dim_indicator": schemas.DIM_INDICATOR,
     "dim_location": schemas.DIM_LOCATION,
@@ -35,7 +31,7 @@ TABLES: dict[str, StructType] = {
     "quality_rules": schemas.QUALITY_RULES,
 }
 # Large tables are laid out by load, so a stage reads only what it was given.
-BY_LOAD = {"grid", "long", "rejected", "facts"}
+BY_LOAD = {"grid", "long", "facts"}
 
 
 def local_rows(spark: SparkSession, schema: StructType, records: list[dict]) -> DataFrame:
@@ -79,12 +75,10 @@ class Store:
 
     def live_loads(self) -> DataFrame:
         """The newest committed load of every file."""
-        newest = F.max_by(F.struct("load_id", "file_hash"), F.struct("loaded_at", "load_id"))
+        columns = [c for c in schemas.FILE_LOADS.names if c != "source_file"]
+        newest = F.max_by(F.struct(*columns), F.struct("loaded_at", "load_id"))
         return (
-            self.read("file_loads")
-            .groupBy("source_file")
-            .agg(newest.alias("l"))
-            .select("source_file", "l.load_id", "l.file_hash")
+            self.read("file_loads").groupBy("source_file").agg(newest.alias("l")).select("source_file", "l.*")
         )
 
     def live(self, table: str) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ACCURACY = 100_000
@@ -37,8 +39,8 @@ def exact_quantiles(
         F.array(*[F.count_if(F.col("v") < lo) for lo in los]).alias("below")
     ).select("below").scalar()
     which = F.array_compact(F.array(*[F.when(hit, F.lit(i)) for i, hit in enumerate(hits)]))
-    counted = values.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-    inside = counted.withColumn("i", F.explode(which))
+    near = values.where(reduce(Column.__or__, hits))
+    inside = near.groupBy("v").agg(F.count(F.lit(1)).alias("c")).withColumn("i", F.explode(which))
 
     upto = Window.partitionBy("i").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = inside.withColumn("end", F.sum("c").over(upto) + F.get(below, F.col("i")))

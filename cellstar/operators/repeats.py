@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _FIXED_WIDTH = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+_NESTED = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
 _NARROW_COLUMNS = 4
 
 
@@ -15,29 +16,44 @@ def _narrow(rows: DataFrame, columns: list[str]) -> bool:
     return len(kinds) <= _NARROW_COLUMNS and all(isinstance(k, _FIXED_WIDTH) for k in kinds)
 
 
-def repeated_groups(rows: DataFrame, columns: list[str], count_name: str = "n") -> DataFrame:
-    """Groups equal on ``columns`` (NULL equals NULL) that occur more than once.
+def _encoded(rows: DataFrame, column: str) -> Column:
+    """Text that differs whenever the values differ: its length, then the value; ``-`` for NULL."""
+    kind, value = rows.schema[column].dataType, F.col(column)
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        value = value + F.lit(0.0).cast(kind)  # minus zero equals zero
+    if isinstance(kind, T.BinaryType):
+        value = F.base64(value)
+    text = value.cast("string")
+    return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+
+def _group_sizes(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """``_n`` per group of rows equal on ``columns``; NULL equals NULL.
 
-    Wide keys are not shuffled for rows that turn out unique: a first pass counts
-    64-bit hashes, and only rows whose hash repeats are grouped on their real values,
-    so a hash collision cannot change the outcome. Both passes combine on the map side,
-    so a group holding a large share of all rows reaches its reducer as one row per task.
+    Long keys travel as their SHA-256 digest, so whole rows are never shuffled. Counts
+    are combined on the map side: a group that holds a large share of all rows reaches
+    its reducer as one row per task.
     """
-    wanted = rows.select(*columns)
-    if not _narrow(rows, columns):
-        hashed = wanted.withColumn("_hash", F.xxhash64(*columns))
-        suspects = hashed.groupBy("_hash").count().where(F.col("count") > 1).select("_hash")
-        wanted = hashed.join(suspects, "_hash", "left_semi")
-    return wanted.groupBy(*columns).agg(F.count(F.lit(1)).alias(count_name)).where(F.col(count_name) > 1)
+    nested = any(isinstance(rows.schema[c].dataType, _NESTED) for c in columns)
+    if nested or _narrow(rows, columns):
+        keys = [F.col(c) for c in columns]
+    else:
+        keys = [F.unhex(F.sha2(F.concat(*[_encoded(rows, c) for c in columns]), 256)).alias("_digest")]
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def repeated_groups(rows: DataFrame, columns: list[str], count_name: str = "n") -> DataFrame:
+    """Groups equal on ``columns`` (NULL equals NULL) that occur more than once."""
+    return rows.groupBy(*columns).agg(F.count(F.lit(1)).alias(count_name)).where(F.col(count_name) > 1)
 
 
 def surplus_rows(rows: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """One row, ``n``: rows beyond the first of each group of equal rows."""
-    groups = repeated_groups(rows, columns or rows.columns, "_n")
-    return groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("n"))
+    sizes = _group_sizes(rows, columns or rows.columns)
+    return sizes.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("n"))
 
 
 def rows_with_repeated_key(rows: DataFrame, keys: list[str]) -> DataFrame:
     """One row, ``n``: all rows whose key occurs more than once."""
-    groups = repeated_groups(rows, keys, "_n")
-    return groups.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("n"))
+    sizes = _group_sizes(rows, keys).where(F.col("_n") > 1)
+    return sizes.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("n"))

@@ -10,6 +10,7 @@ CHUNK_ROWS = 1_000_000
 
 def with_previous(
     rows: DataFrame,
+    slots: DataFrame,
     series: str,
     slot: str,
     slot_order: list[str],
@@ -20,10 +21,11 @@ def with_previous(
 ) -> DataFrame:
     """``LAG(value)`` per ``series`` in the order (slot_order, slot, row_id, value).
 
-    ``slot`` (a period id) fixes the ``slot_order`` columns. A series is cut into
-    chunks: slots, and within a slot ranges of ``row_id`` of about ``chunk_rows`` rows of the
-    whole input. The window runs per chunk; a second, small window over one tail row
-    per chunk supplies what precedes the first row of each chunk.
+    ``slots`` lists the slots (periods) with their ``slot_order`` columns; rows of other
+    slots are left out. A series is cut into chunks: its slots, and within a slot ranges
+    of ``row_id`` of about ``chunk_rows`` rows of the whole input. The large window runs
+    per chunk; a small one over one tail row per chunk supplies what precedes the first
+    row of each chunk.
     """
     rid = F.col(row_id).cast("double")
     extent = rows.agg(
@@ -43,14 +45,15 @@ def with_previous(
     )
 
     last_key = F.struct(F.col(row_id), F.col(value).isNull(), F.col(value))
-    tails = chunked.groupBy(*place, *slot_order).agg(F.max_by(value, last_key).alias("_tail"))
-    slots = [F.col(c).asc_nulls_last() for c in slot_order]
-    across = Window.partitionBy(series).orderBy(*slots, F.col(slot), F.col("_chunk"))
-    carried = tails.select(*place, F.lag("_tail").over(across).alias("_carried"))
+    tails = chunked.groupBy(*place).agg(F.max_by(value, last_key).alias("_tail"))
+    placed = tails.join(slots.select(slot, *slot_order), slot)
+    ordered = [F.col(c).asc_nulls_last() for c in slot_order]
+    across = Window.partitionBy(series).orderBy(*ordered, F.col(slot), F.col("_chunk"))
+    carried = placed.select(*place, *slot_order, F.lag("_tail").over(across).alias("_carried"))
 
     previous = F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_lag"))
     return (
-        numbered.join(carried, place, "left")
+        numbered.join(carried, place)
         .withColumn(prev_name, previous)
         .drop("_chunk", "_first", "_lag", "_carried")
     )

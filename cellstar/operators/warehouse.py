@@ -16,10 +16,10 @@ def _last_id(dimension: DataFrame | None, id_name: str) -> Column | int:
     return dimension.agg(F.coalesce(F.max(id_name), F.lit(0))).scalar()
 
 
-def new_indicators(
+def unknown_indicators(
     names: DataFrame, existing: DataFrame | None = None, category: str | None = None
 ) -> DataFrame:
-    """Dimension rows for names whose key is not in ``existing`` yet.
+    """Key, name and category of indicators whose key is not in ``existing`` yet.
 
     Names that differ only in case, or in space against underscore, share a key and so
     a row; the smallest name is kept. Blank names are ignored.
@@ -35,28 +35,48 @@ def new_indicators(
         .groupBy("indicator_key")
         .agg(F.min("indicator_name").alias("indicator_name"), F.min("category").alias("category"))
     )
-    if existing is not None:
-        found = found.join(existing.select("indicator_key"), "indicator_key", "left_anti")
-    numbered = with_dense_ids(found, "indicator_key", "indicator_id", _last_id(existing, "indicator_id"))
-    return numbered.select("indicator_id", "indicator_key", "indicator_name", "category")
+    if existing is None:
+        return found
+    return found.join(existing.select("indicator_key"), "indicator_key", "left_anti")
 
 
-def new_dates(labels: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """Dimension rows for period labels not in ``existing`` yet; unreadable ones keep NULLs."""
+def numbered_indicators(unknown: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """Dimension rows with ids that follow those of ``existing``."""
+    rows = with_dense_ids(unknown, "indicator_key", "indicator_id", _last_id(existing, "indicator_id"))
+    return rows.select("indicator_id", "indicator_key", "indicator_name", "category")
+
+
+def new_indicators(
+    names: DataFrame, existing: DataFrame | None = None, category: str | None = None
+) -> DataFrame:
+    return numbered_indicators(unknown_indicators(names, existing, category), existing)
+
+
+def unknown_dates(labels: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """Period labels not in ``existing`` yet."""
     found = (
         labels.select(blank_to_null(F.col("year_label")).alias("period_label"))
         .where(F.col("period_label").isNotNull())
         .distinct()
     )
-    if existing is not None:
-        found = found.join(existing.select("period_label"), "period_label", "left_anti")
-    numbered = with_dense_ids(found, "period_label", "date_id", _last_id(existing, "date_id"))
+    if existing is None:
+        return found
+    return found.join(existing.select("period_label"), "period_label", "left_anti")
+
+
+def numbered_dates(unknown: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """Dimension rows; a label that cannot be read keeps NULLs."""
     label = F.col("period_label")
-    return numbered.select(
+    rows = with_dense_ids(unknown, "period_label", "date_id", _last_id(existing, "date_id"))
+    return rows.select(
         "date_id", period_year(label).alias("year"), "period_label", period_start(label).alias("date_value")
     )
 
 
+def new_dates(labels: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    return numbered_dates(unknown_dates(labels, existing), existing)
+
+
 def with_fact_keys(
     long: DataFrame, indicators: DataFrame, dates: DataFrame, locations: DataFrame | None = None
 ) -> DataFrame:

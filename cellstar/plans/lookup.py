@@ -125,13 +125,13 @@ def change_percent(value: Column, previous: Column) -> Column:
 
 def all_timeseries(facts: DataFrame, indicator_dim: DataFrame, dates: DataFrame) -> DataFrame:
     """Every series in period order with the previous value and the change."""
-    rows = (
-        facts.select("fact_id", "indicator_id", "date_id", "value")
-        .join(indicator_dim.select("indicator_id", "indicator_name"), "indicator_id")
-        .join(dates.select("date_id", "period_label", "year"), "date_id")
+    rows = facts.select("fact_id", "indicator_id", "date_id", "value").join(
+        indicator_dim.select("indicator_id"), "indicator_id", "left_semi"
+    )
+    lagged = with_previous(
+        rows, dates, "indicator_id", "date_id", ["year", "period_label"], "fact_id", "value"
     )
-    lagged = with_previous(rows, "indicator_id", "date_id", ["year", "period_label"], "fact_id", "value")
-    return lagged.select(
+    return lagged.join(indicator_dim.select("indicator_id", "indicator_name"), "indicator_id").select(
         "indicator_name",
         F.col("period_label").alias("period"),
         "year",

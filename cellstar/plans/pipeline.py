@@ -191,7 +191,7 @@ def transform(store: Store, load_id: str, fallback: bool = False) -> None:
         # Written first: Spark then knows how small the layouts are and joins accordingly.
         layouts = store.staged(f"{load_id}-layouts", sheets.layout_of(grid, fallback))
 
-        cells = sheets.measured_cells(sheets.unpivot(grid, layouts))
+        cells = sheets.measured_cells(sheets.unpivot(grid, layouts, sheets.layouts_fit(layouts)))
         store.append("long", cells.withColumn("load_id", F.lit(load_id)))
 
         written = _of(store, "long", load_id)
@@ -216,10 +216,7 @@ def load(store: Store, load_id: str, locations: DataFrame | None = None) -> None
     """Cleaned measurements of a load into the star schema, committed file by file."""
     with Run(store, PIPELINE, "load", metadata={"load_id": load_id}) as run:
         long = _of(store, "long", load_id).where(F.col("value").isNotNull()).drop("text")
-        together(
-            lambda: store.append("dim_indicator", warehouse.new_indicators(long, store.read("dim_indicator"))),
-            lambda: store.append("dim_date", warehouse.new_dates(long, store.read("dim_date"))),
-        )
+        together(lambda: add_indicators(store, load_id, long), lambda: add_dates(store, load_id, long))
         indicators, dates = store.read("dim_indicator"), store.read("dim_date")
 
         last = store.read("file_loads").agg(F.coalesce(F.max("max_fact_id"), F.lit(0))).scalar()
@@ -252,6 +249,21 @@ def load(store: Store, load_id: str, locations: DataFrame | None = None) -> None
         run.complete("success", records_input=n, records_processed=n, records_loaded=n)
 
 
+def add_indicators(store: Store, load_id: str, long: DataFrame) -> None:
+    """Append the indicators not known yet; the measurements are read once for it."""
+    known = store.read("dim_indicator")
+    unknown = store.staged(f"{load_id}-indicators", warehouse.unknown_indicators(long, known))
+    if not unknown.isEmpty():
+        store.append("dim_indicator", warehouse.numbered_indicators(unknown, known))
+
+
+def add_dates(store: Store, load_id: str, long: DataFrame) -> None:
+    known = store.read("dim_date")
+    unknown = store.staged(f"{load_id}-dates", warehouse.unknown_dates(long, known))
+    if not unknown.isEmpty():
+        store.append("dim_date", warehouse.numbered_dates(unknown, known))
+
+
 def commit(store: Store, load_id: str, written: DataFrame) -> None:
     """Make this load the live one of every file it holds, also of files left without facts.
 

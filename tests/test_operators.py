@@ -22,6 +22,14 @@ def skewed(spark):
     return rows
 
 
+SCHEMA = "s int, slot int, year int, label string, id bigint, value double"
+
+
+def previous(rows, **options):
+    slots = rows.select("slot", "year", "label").distinct()
+    return with_previous(rows.drop("year", "label"), slots, "s", "slot", ["year", "label"], "id", "value", **options)
+
+
 def brute_previous(rows):
     expected, last = {}, {}
     ordered = sorted(rows, key=lambda r: (r[0], r[2] is None, r[2] or 0, r[3], r[1], r[4]))
@@ -33,15 +41,14 @@ def brute_previous(rows):
 
 @pytest.mark.parametrize("chunk_rows", [1, 40, 1_000_000])
 def test_previous_value_across_chunks(spark, skewed, chunk_rows):
-    schema = "s int, slot int, year int, label string, id bigint, value double"
-    rows = spark.createDataFrame(skewed, schema).repartition(5)
-    found = with_previous(rows, "s", "slot", ["year", "label"], "id", "value", chunk_rows=chunk_rows)
+    rows = spark.createDataFrame(skewed, SCHEMA).repartition(5)
+    found = previous(rows, chunk_rows=chunk_rows)
     assert {r.id: r.prev_value for r in found.collect()} == brute_previous(skewed)
 
 
 def test_previous_value_without_spread_of_ids(spark):
-    rows = spark.createDataFrame([(1, 1, 1, "a", 5, 1.0), (1, 2, 2, "b", 5, 2.0)], "s int, slot int, year int, label string, id bigint, value double")
-    found = with_previous(rows, "s", "slot", ["year", "label"], "id", "value")
+    rows = spark.createDataFrame([(1, 1, 1, "a", 5, 1.0), (1, 2, 2, "b", 5, 2.0)], SCHEMA)
+    found = previous(rows)
     assert sorted((r.value, r.prev_value) for r in found.collect()) == [(1.0, None), (2.0, 1.0)]
 
 
@@ -93,8 +100,22 @@ def test_no_repeats_is_zero(spark):
     assert repeats.rows_with_repeated_key(rows, ["t"]).first().n == 0
 
 
-def test_narrow_keys_take_one_pass(spark):
+def test_narrow_keys_need_no_digest(spark):
     rows = spark.createDataFrame([(1, 2.0), (1, 2.0), (2, 0.0), (2, -0.0)], "a int, b double")
-    groups = repeats.repeated_groups(rows, ["a", "b"])
-    assert "xxhash64" not in groups._jdf.queryExecution().optimizedPlan().toString()
-    assert sorted(r.n for r in groups.collect()) == [2, 2]
+    assert "sha2" not in repeats.surplus_rows(rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert repeats.surplus_rows(rows).first().n == 2
+    assert sorted(r.n for r in repeats.repeated_groups(rows, ["a", "b"]).collect()) == [2, 2]
+
+
+def test_digests_keep_columns_apart(spark):
+    rows = spark.createDataFrame(
+        [("1:a", "b", 0.0), ("1:a", "b", -0.0), ("1:ab", "", 0.0), ("", "1:ab", 0.0), (None, "-", 0.0), ("-", None, 0.0)],
+        "x string, y string, z double",
+    )
+    assert repeats.surplus_rows(rows).first().n == 1
+    assert repeats.rows_with_repeated_key(rows, ["x", "y"]).first().n == 2
+
+
+def test_nested_rows(spark):
+    rows = spark.createDataFrame([(["a, b"],), (["a", "b"],), (["a", "b"],)], "x array<string>")
+    assert repeats.surplus_rows(rows).first().n == 1

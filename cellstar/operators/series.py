@@ -34,8 +34,9 @@ def with_previous(
         F.ceil(F.count(F.lit(1)) / chunk_rows).alias("chunks"),
     )
     lo, width, chunks = (extent.select(c).scalar() for c in ("lo", "width", "chunks"))
-    # Division and floor keep the order of row_id, so chunks are ranges.
-    chunked = rows.withColumn("_chunk", F.floor((rid - lo) / width * chunks))
+    # Division and floor keep the order of row_id, so chunks are ranges; rows without an id come last.
+    chunk = F.coalesce(F.floor((rid - lo) / width * chunks), chunks + 1)
+    chunked = rows.withColumn("_chunk", chunk)
 
     place = [series, slot, "_chunk"]
     row_order = [F.col(row_id).asc_nulls_last(), F.col(value).asc_nulls_last()]
@@ -44,7 +45,7 @@ def with_previous(
         "_lag", F.lag(value).over(inside)
     )
 
-    last_key = F.struct(F.col(row_id), F.col(value).isNull(), F.col(value))
+    last_key = F.struct(F.col(row_id).isNull(), F.col(row_id), F.col(value).isNull(), F.col(value))
     tails = chunked.groupBy(*place).agg(F.max_by(value, last_key).alias("_tail"))
     placed = tails.join(slots.select(slot, *slot_order), slot)
     ordered = [F.col(c).asc_nulls_last() for c in slot_order]

@@ -330,12 +330,18 @@ def random_sample(facts: DataFrame, limit: int = 10, seed: int | None = None) ->
     return facts.orderBy(F.rand(seed)).limit(limit)
 
 
-def distinct_counts(facts: DataFrame) -> DataFrame:
-    """Distinct values per column.
+def distinct_counts(facts: DataFrame, approximate: bool = False) -> DataFrame:
+    """Distinct values per column, exact unless ``approximate`` is asked for.
 
     Each column is reduced on its own: the few keys collapse on the map side and only
     the distinct values travel, which one combined aggregate could not do.
     """
+    if approximate:
+        return facts.agg(
+            F.approx_count_distinct("indicator_id").alias("unique_indicators"),
+            F.approx_count_distinct("date_id").alias("unique_dates"),
+            F.approx_count_distinct("value").alias("unique_values"),
+        )
 
     def distinct(column: str) -> Column:
         return facts.select(column).distinct().agg(F.count(column)).scalar()

@@ -233,12 +233,17 @@ def quality_bands(metrics: DataFrame, as_of: datetime, days: int = 7) -> DataFra
     return rates.withColumn("band", band(F.coalesce("pass_rate", F.lit(0.0)), RATE_BANDS, "FAIL"))
 
 
+def _identity(metrics: DataFrame) -> list[str]:
+    """Columns that settle ties between checks of the same moment."""
+    return [c for c in ("metric_id", "run_id", "check_name", "table_name", "column_name") if c in metrics.columns]
+
+
 def v_failed_checks(metrics: DataFrame, runs: DataFrame, limit: int = 100) -> DataFrame:
     """Newest failed checks with the pipeline and file of their run."""
     failed = metrics.where(~F.col("passed"))
     return (
         failed.join(runs.select("run_id", "pipeline_name", "source_file"), "run_id")
-        .orderBy(*_newest("checked_at", "metric_id", "check_name"))
+        .orderBy(*_newest("checked_at", *_identity(metrics)))
         .limit(limit)
         .select(
             "check_name",
@@ -260,7 +265,7 @@ def recent_failures(metrics: DataFrame, as_of: datetime, days: int = 7, limit: i
         raise ValueError("days must be between 1 and 90")
     return (
         metrics.where(~F.col("passed") & _since("checked_at", as_of, days))
-        .orderBy(*_newest("checked_at", "metric_id", "check_name"))
+        .orderBy(*_newest("checked_at", *_identity(metrics)))
         .limit(limit)
         .select(
             "check_name", "check_category", "table_name", "column_name", "metric_value", "threshold_value", "checked_at"

@@ -68,7 +68,7 @@ def difference(spark, con, folder: str, key: str) -> str | None:
 
 
 def main(folder: str, keys: list[str]) -> int:
-    spark = build_session("compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
+    spark = build_session("compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(str(Path(folder)))
     bad = 0

@@ -328,9 +328,14 @@ class Inputs:
         explicit = done.select(
             "run_id", F.lit("complete").alias("event"), F.col("completed_at").alias("event_ts"), *origin, *later
         )
-        implicit = start.where(F.col("run_id") % 50 != 0).withColumn("event", F.lit("complete")).withColumn(
-            "status", F.lit("success")
-        ).withColumn("event_ts", F.col("event_ts") + F.expr("INTERVAL 1 DAY"))
+        implicit = explicit.select(
+            "run_id",
+            "event",
+            (F.col("event_ts") + F.expr("INTERVAL 1 DAY")).alias("event_ts"),
+            *origin,
+            F.lit("success").alias("status"),
+            *[F.lit(None).cast(explicit.schema[c].dataType).alias(c) for c in later if c != "status"],
+        )
         return start.unionByName(explicit).unionByName(implicit)
 
     @property

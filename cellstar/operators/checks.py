@@ -209,14 +209,18 @@ def validity(rows: DataFrame, column: str = "value") -> Check:
     )
 
 
-def duplicate_rows(rows: DataFrame) -> Check:
-    """Rows beyond the first of each group of equal rows."""
+def duplicate_rows(rows: DataFrame, repeats: DataFrame | None = None) -> Check:
+    """Rows beyond the first of each group of equal rows.
+
+    ``repeats`` is a repeat profile of the rows, when one is at hand.
+    """
+    counted = surplus_rows(rows) if repeats is None else repeats.select("n_duplicates")
     dup = F.col("n_duplicates")
     share = _share(dup, F.col("n_rows"), 0.0)
     return Check(
         "duplicate_rows",
         _row_count(),
-        lookups={"n_duplicates": surplus_rows(rows).scalar()},
+        lookups={"n_duplicates": counted.scalar()},
         metrics=[
             metric(
                 "consistency_no_duplicates",
@@ -256,8 +260,8 @@ def period_format(column: str = "year_label") -> Check:
     )
 
 
-def consistency(rows: DataFrame) -> Check:
-    parts = [duplicate_rows(rows)]
+def consistency(rows: DataFrame, repeats: DataFrame | None = None) -> Check:
+    parts = [duplicate_rows(rows, repeats)]
     if "year_label" in rows.columns:
         parts.append(period_format())
     return Check(
@@ -269,17 +273,24 @@ def consistency(rows: DataFrame) -> Check:
     )
 
 
-def key_uniqueness(rows: DataFrame, keys: list[str] | None = None) -> Check:
+def key_columns(rows: DataFrame) -> list[str]:
+    return [c for c in KEY_CANDIDATES if c in rows.columns]
+
+
+def key_uniqueness(
+    rows: DataFrame, keys: list[str] | None = None, repeats: DataFrame | None = None
+) -> Check:
     """All rows of a repeated key count; without key columns the check passes unseen."""
-    keys = keys or [c for c in KEY_CANDIDATES if c in rows.columns]
+    keys = keys or key_columns(rows)
     if not keys:
         return Check("uniqueness", _row_count(), passed=[F.lit(True)])
+    counted = rows_with_repeated_key(rows, keys) if repeats is None else repeats.select("n_repeated_keys")
     bad = F.col("n_repeated_keys")
     share = _share(bad, F.col("n_rows"), 0.0)
     return Check(
         "uniqueness",
         _row_count(),
-        lookups={"n_repeated_keys": rows_with_repeated_key(rows, keys).scalar()},
+        lookups={"n_repeated_keys": counted.scalar()},
         metrics=[
             metric(
                 "uniqueness_key_constraint",

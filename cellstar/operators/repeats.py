@@ -27,19 +27,24 @@ def _encoded(rows: DataFrame, column: str) -> Column:
     return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
 
 
-def _group_sizes(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """``_n`` per group of rows equal on ``columns``; NULL equals NULL.
+def _keys(rows: DataFrame, columns: list[str], name: str) -> list[Column]:
+    """What to group on so that rows equal on ``columns`` meet; NULL equals NULL.
 
-    Long keys travel as their SHA-256 digest, so whole rows are never shuffled. Counts
-    are combined on the map side: a group that holds a large share of all rows reaches
-    its reducer as one row per task.
+    Long keys travel as their SHA-256 digest, so whole rows are never shuffled.
     """
     nested = any(isinstance(rows.schema[c].dataType, _NESTED) for c in columns)
     if nested or _narrow(rows, columns):
-        keys = [F.col(c) for c in columns]
-    else:
-        keys = [F.unhex(F.sha2(F.concat(*[_encoded(rows, c) for c in columns]), 256)).alias("_digest")]
-    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        return [F.col(c) for c in columns]
+    return [F.unhex(F.sha2(F.concat(*[_encoded(rows, c) for c in columns]), 256)).alias(name)]
+
+
+def _group_sizes(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """``_n`` per group of equal rows.
+
+    Counts are combined on the map side: a group that holds a large share of all rows
+    reaches its reducer as one row per task.
+    """
+    return rows.groupBy(*_keys(rows, columns, "_digest")).agg(F.count(F.lit(1)).alias("_n"))
 
 
 def repeated_groups(rows: DataFrame, columns: list[str], count_name: str = "n") -> DataFrame:
@@ -57,3 +62,24 @@ def rows_with_repeated_key(rows: DataFrame, keys: list[str]) -> DataFrame:
     """One row, ``n``: all rows whose key occurs more than once."""
     sizes = _group_sizes(rows, keys).where(F.col("_n") > 1)
     return sizes.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("n"))
+
+
+def repeat_profile(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """One row, ``n_duplicates`` and ``n_repeated_keys``: both counts from one scan.
+
+    Equal rows share their key, so they are counted first and the counts are then
+    merged per key.
+    """
+    if any(isinstance(rows.schema[c].dataType, _NESTED) for c in rows.columns):
+        return surplus_rows(rows).select(
+            F.col("n").alias("n_duplicates"), rows_with_repeated_key(rows, keys).scalar().alias("n_repeated_keys")
+        )
+    key = _keys(rows, keys, "_key")
+    key_names = ["_key"] if len(key) == 1 and not _narrow(rows, keys) else keys
+    equal = rows.groupBy(*_keys(rows, rows.columns, "_row"), *[k for k in key if not _narrow(rows, rows.columns)])
+    sizes = equal.agg(F.count(F.lit(1)).alias("_n"))
+    per_key = sizes.groupBy(*key_names).agg(F.sum("_n").alias("_k"), F.sum(F.col("_n") - 1).alias("_surplus"))
+    return per_key.agg(
+        F.coalesce(F.sum("_surplus"), F.lit(0)).cast("bigint").alias("n_duplicates"),
+        F.coalesce(F.sum(F.when(F.col("_k") > 1, F.col("_k"))), F.lit(0)).cast("bigint").alias("n_repeated_keys"),
+    )

@@ -40,7 +40,7 @@ def _of(store: Store, table: str, load_id: str) -> DataFrame:
     return store.read(table).where(F.col("load_id") == load_id)
 
 
-def read_files(spark: SparkSession, folder: str, pattern: str = "*.xlsx") -> DataFrame:
+def read_files(spark: SparkSession, folder: str, pattern: str = files.WORKBOOKS) -> DataFrame:
     """``path, content, length`` and hash of the workbooks of a folder."""
     content = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
     return files.content_hashes(content, "content")
@@ -285,7 +285,7 @@ def commit(store: Store, load_id: str, written: DataFrame) -> None:
     )
 
 
-def run(store: Store, folder: str, pattern: str = "*.xlsx", force: bool = False, load_id: str | None = None) -> str | None:
+def run(store: Store, folder: str, pattern: str = files.WORKBOOKS, force: bool = False, load_id: str | None = None) -> str | None:
     """All stages over a folder of workbooks; returns the load id, None when nothing was new."""
     load_id = load_id or uuid.uuid4().hex
     files.discover(store.spark, folder, pattern)

@@ -8,16 +8,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellstar.operators import checks as C
+from cellstar.operators.repeats import repeat_profile
 from cellstar.schemas import QUALITY_RULES
 from cellstar.sources.store import local_rows
 
 
 def standard_checks(rows: DataFrame, critical: list[str] | None = None) -> list[C.Check]:
+    keys = C.key_columns(rows)
+    repeats = repeat_profile(rows, keys) if keys else None
     return [
         C.completeness(critical or rows.columns),
         C.validity(rows),
-        C.consistency(rows),
-        C.key_uniqueness(rows),
+        C.consistency(rows, repeats),
+        C.key_uniqueness(rows, keys, repeats),
         C.data_types(rows),
     ]
 

@@ -10,8 +10,11 @@ from cellstar.schemas import SOURCE_FILES
 # Fixed value: hash recorded for a registered file that no longer exists.
 MISSING_HASH = "file_not_found"
 
+# Both workbook formats are found; one that cannot be decoded is reported, not passed over.
+WORKBOOKS = "*.xls*"
 
-def discover(spark: SparkSession, folder: str, pattern: str = "*.xls*") -> DataFrame:
+
+def discover(spark: SparkSession, folder: str, pattern: str = WORKBOOKS) -> DataFrame:
     """``path, length, modificationTime`` of matching files; reads no content."""
     found = (
         spark.read.format("binaryFile")
@@ -28,7 +31,7 @@ def file_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
 
-def snapshot(spark: SparkSession, folder: str, pattern: str = "*.xls*") -> DataFrame:
+def snapshot(spark: SparkSession, folder: str, pattern: str = WORKBOOKS) -> DataFrame:
     """``file_path, file_name, file_hash, file_size_bytes`` of the files in a folder."""
     content = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
     return content.select(

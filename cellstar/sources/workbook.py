@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellstar.schemas import GRID
+from cellstar.sources.files import WORKBOOKS
 
 READ_SCHEMA = T.StructType([*GRID.fields, T.StructField("error", T.StringType(), True)])
 ROWS_PER_BATCH = 10_000
@@ -144,7 +145,7 @@ def decode_files(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInPandas(_decode_batches, READ_SCHEMA)
 
 
-def read_workbooks(spark: SparkSession, folder: str, pattern: str = "*.xlsx") -> DataFrame:
+def read_workbooks(spark: SparkSession, folder: str, pattern: str = WORKBOOKS) -> DataFrame:
     return decode_files(spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder))
 
 

@@ -18,7 +18,7 @@ FILE_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content B
 
 
 def ingest_available(
-    store: Store, folder: str, checkpoint: str, pattern: str = "*.xlsx", files_per_batch: int = 1000
+    store: Store, folder: str, checkpoint: str, pattern: str = files.WORKBOOKS, files_per_batch: int = 1000
 ) -> StreamingQuery:
     """Process everything that has arrived, in batches, and stop.
 

@@ -119,3 +119,21 @@ def test_digests_keep_columns_apart(spark):
 def test_nested_rows(spark):
     rows = spark.createDataFrame([(["a, b"],), (["a", "b"],), (["a", "b"],)], "x array<string>")
     assert repeats.surplus_rows(rows).first().n == 1
+
+
+@pytest.mark.parametrize(
+    "schema, records, keys",
+    [
+        ("k string, v int", [("a", 1), ("a", 1), ("a", 2), ("b", 1), (None, 1), (None, 1), ("", None)], ["k"]),
+        ("k int, v int", [(1, 1), (1, 1), (1, 2), (2, 1), (None, None), (None, None)], ["k"]),
+        ("k int, v string", [(1, "x"), (1, "x"), (1, "y"), (2, "x")], ["k"]),
+        ("k string, v int", [("a", 1), ("a", 1), ("b", 2)], ["k", "v"]),
+        ("k string, v array<int>", [("a", [1]), ("a", [1]), ("a", [2]), ("b", None)], ["k"]),
+        ("k string, v int", [], ["k"]),
+    ],
+)
+def test_repeat_profile_agrees_with_single_counts(spark, schema, records, keys):
+    rows = spark.createDataFrame(records, schema)
+    found = repeats.repeat_profile(rows, keys).first()
+    assert found.n_duplicates == repeats.surplus_rows(rows).first().n
+    assert found.n_repeated_keys == repeats.rows_with_repeated_key(rows, keys).first().n

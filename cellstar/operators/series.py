@@ -41,12 +41,14 @@ def with_previous(
     place = [series, slot, "_chunk"]
     row_order = [F.col(row_id).asc_nulls_last(), F.col(value).asc_nulls_last()]
     inside = Window.partitionBy(*place).orderBy(*row_order)
-    numbered = chunked.withColumn("_first", F.row_number().over(inside) == 1).withColumn(
-        "_lag", F.lag(value).over(inside)
+    numbered = (
+        chunked.withColumn("_first", F.row_number().over(inside) == 1)
+        .withColumn("_last", F.lead(F.lit(True)).over(inside).isNull())
+        .withColumn("_lag", F.lag(value).over(inside))
     )
 
-    last_key = F.struct(F.col(row_id).isNull(), F.col(row_id), F.col(value).isNull(), F.col(value))
-    tails = chunked.groupBy(*place).agg(F.max_by(value, last_key).alias("_tail"))
+    # The same shuffled rows feed both branches; this one keeps a row per chunk.
+    tails = numbered.where("_last").select(*place, F.col(value).alias("_tail"))
     placed = tails.join(slots.select(slot, *slot_order), slot)
     ordered = [F.col(c).asc_nulls_last() for c in slot_order]
     across = Window.partitionBy(series).orderBy(*ordered, F.col(slot), F.col("_chunk"))
@@ -56,5 +58,5 @@ def with_previous(
     return (
         numbered.join(carried, place)
         .withColumn(prev_name, previous)
-        .drop("_chunk", "_first", "_lag", "_carried")
+        .drop("_chunk", "_first", "_last", "_lag", "_carried")
     )

@@ -119,8 +119,11 @@ def indicator_metadata(facts: DataFrame, indicator_dim: DataFrame, dates: DataFr
 
 
 def change_percent(value: Column, previous: Column) -> Column:
-    """Change against ``previous`` in percent; NULL when that is NULL or zero."""
-    return round2(F.try_divide((value - previous) * 100, previous))
+    """Change against ``previous`` in percent; NULL when that is NULL or zero.
+
+    The difference is exact, the division is not: per row, a decimal one costs too much.
+    """
+    return round2(F.try_divide((value - previous).cast("double") * 100, previous.cast("double")))
 
 
 def all_timeseries(facts: DataFrame, indicator_dim: DataFrame, dates: DataFrame) -> DataFrame:
@@ -153,17 +156,16 @@ def timeseries(facts: DataFrame, indicator_dim: DataFrame, dates: DataFrame, nam
 def series_statistics(facts: DataFrame, indicator_dim: DataFrame, dates: DataFrame) -> DataFrame:
     """Average, extremes and trend of every series.
 
-    The trend compares the last with the first non-null value in period order; both
-    come out of one aggregation, without sorting a series.
+    The trend compares the last with the first non-null value in the order of period and
+    fact id; both come out of one hash aggregation, without sorting a series.
     """
-    place = F.struct("date_id", "fact_id", "value")
     pairs = facts.where(F.col("value").isNotNull()).groupBy("indicator_id", "date_id").agg(
         F.count("value").alias("n"),
         F.sum("value").alias("total"),
         F.min("value").alias("low"),
         F.max("value").alias("high"),
-        F.min_by("value", place).alias("first"),
-        F.max_by("value", place).alias("last"),
+        F.min_by("value", "fact_id").alias("first"),
+        F.max_by("value", "fact_id").alias("last"),
     )
     slot = F.struct(F.col("year").isNull(), "year", "period_label", "date_id")
     per = (

@@ -11,6 +11,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,8 +20,9 @@ from cellstar.functions import safe_name
 from cellstar.operators import checks, sheets, warehouse
 from cellstar.plans import quality
 from cellstar.plans.runs import Run
+from cellstar.schemas import LOADS
 from cellstar.sources import csv_sheets, files, workbook
-from cellstar.sources.store import Store
+from cellstar.sources.store import Store, local_rows
 
 PIPELINE = "sheet_etl"
 SHEET = sheets.SHEET
@@ -87,7 +89,9 @@ def ingest(store: Store, content: DataFrame, load_id: str, force: bool = False)
 def ingest_csv(store: Store, folder: str, load_id: str, **options) -> DataFrame:
     """Read a folder of raw sheet CSVs into the grid table; returns the files read."""
     with Run(store, PIPELINE, "ingestion", source_file=folder, metadata={"load_id": load_id}) as run:
-        grid = csv_sheets.read_raw_csv(store.spark, folder, **options)
+        grid = csv_sheets.read_raw_csv(
+            store.spark, folder, stage=lambda name, rows: store.staged(f"{load_id}-{name}", rows), **options
+        )
         store.append("grid", grid.withColumn("load_id", F.lit(load_id)))
         written = _of(store, "grid", load_id)
         rows, *_ = together(
@@ -232,7 +236,8 @@ def load(store: Store, load_id: str, locations: DataFrame | None = None) -> None
             "source_file",
             F.lit(load_id).alias("load_id"),
         )
-        store.append("facts", facts)
+        # Sorted inside each task, so that readers of one period or indicator skip row groups.
+        store.append("facts", facts.sortWithinPartitions("date_id", "indicator_id"))
 
         written = _of(store, "facts", load_id)
         commit(store, load_id, written)
@@ -267,7 +272,8 @@ def add_dates(store: Store, load_id: str, long: DataFrame) -> None:
 def commit(store: Store, load_id: str, written: DataFrame) -> None:
     """Make this load the live one of every file it holds, also of files left without facts.
 
-    Counts are kept per file, so later checks need not read the facts again.
+    Counts are kept per file, so later checks need not read the facts again. The row in
+    ``loads`` comes last: nothing written before it counts without it.
     """
     read = _of(store, "grid", load_id).select("source_file").distinct()
     counted = written.groupBy("source_file").agg(
@@ -276,13 +282,26 @@ def commit(store: Store, load_id: str, written: DataFrame) -> None:
         F.max("fact_id").alias("max_fact_id"),
     )
     hashes = store.registry().select(F.col("file_path").alias("source_file"), "file_hash")
-    store.append(
-        "file_loads",
+    entries = store.staged(
+        f"{load_id}-files",
         read.join(counted, "source_file", "left")
         .join(hashes, "source_file", "left")
         .withColumn("load_id", F.lit(load_id))
         .withColumn("loaded_at", F.current_timestamp()),
     )
+    earlier = store.live_loads().where(F.col("load_id") != load_id).select("source_file", "load_id")
+    replaced = earlier.join(entries.select("source_file"), "source_file", "left_semi")
+    together(
+        lambda: store.append("file_loads", entries),
+        lambda: store.append("superseded", replaced.withColumn("by_load_id", F.lit(load_id))),
+    )
+    publish(store, load_id)
+
+
+def publish(store: Store, load_id: str) -> None:
+    now = datetime.now(timezone.utc)
+    done = local_rows(store.spark, LOADS, [{"load_id": load_id, "committed_at": now}])
+    store.append("loads", done.coalesce(1))
 
 
 def run(store: Store, folder: str, pattern: str = files.WORKBOOKS, force: bool = False, load_id: str | None = None) -> str | None:

@@ -51,7 +51,11 @@ FACT = _schema(
     ("source_file", _S),
     ("load_id", _S),
 )
-# One row per (source file, committed load); the newest row of a file is the live one.
+# One row per committed load: writing it is what makes the load visible.
+LOADS = _schema(("load_id", _S), ("committed_at", _TS))
+# Which earlier load of a file a load replaces, once it is committed itself.
+SUPERSEDED = _schema(("source_file", _S), ("load_id", _S), ("by_load_id", _S))
+# One row per (source file, load) with the counts of that load.
 FILE_LOADS = _schema(
     ("source_file", _S),
     ("file_hash", _S),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -79,13 +81,24 @@ def _numbered(rows: DataFrame) -> DataFrame:
     )
 
 
+def _unstaged(name: str, rows: DataFrame) -> DataFrame:
+    return rows
+
+
 def read_raw_csv(
-    spark: SparkSession, folder: str, pattern: str = "*.csv", width: int = WIDTH, encoding_fallback: bool = True
+    spark: SparkSession,
+    folder: str,
+    pattern: str = "*.csv",
+    width: int = WIDTH,
+    encoding_fallback: bool = True,
+    stage: Callable[[str, DataFrame], DataFrame] = _unstaged,
 ) -> DataFrame:
     """Grid of every raw CSV in a folder.
 
     Files up to 256 MB are read whole, so quoted line breaks survive; larger ones are
-    split. A file that is not valid UTF-8 is read as Latin-1.
+    split. A file that is not valid UTF-8 is read as Latin-1. ``stage`` may write and
+    read back an intermediate result, so that files are parsed once and the list of
+    those to read again is known to be short.
     """
 
     def read(encoding: str) -> DataFrame:
@@ -93,11 +106,11 @@ def read_raw_csv(
         split = _split_lines_guard(_read(spark, folder, pattern, width, encoding, False))
         return _numbered(whole.unionByName(split))
 
-    grid = read("UTF-8")
     if not encoding_fallback:
-        return grid
+        return read("UTF-8")
+    grid = stage("utf8", read("UTF-8"))
     garbled = grid.where(F.exists("cells", lambda c: F.contains(c, F.lit(REPLACEMENT))))
-    files = garbled.select("source_file").distinct()
+    files = stage("latin1-files", garbled.select("source_file").distinct())
     return grid.join(files, "source_file", "left_anti").unionByName(
         read("ISO-8859-1").join(files, "source_file", "left_semi")
     )

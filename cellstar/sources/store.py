@@ -23,6 +23,8 @@ TABLES: dict[str, StructType] = {
     "dim_indicator": schemas.DIM_INDICATOR,
     "dim_location": schemas.DIM_LOCATION,
     "facts": schemas.FACT,
+    "loads": schemas.LOADS,
+    "superseded": schemas.SUPERSEDED,
     "file_loads": schemas.FILE_LOADS,
     "run_events": schemas.RUN_EVENTS,
     "quality_metrics": schemas.QUALITY_METRICS,
@@ -73,18 +75,28 @@ class Store:
         rows.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
+    def committed(self) -> DataFrame:
+        return self.read("loads").select("load_id").distinct()
+
     def live_loads(self) -> DataFrame:
         """The newest committed load of every file."""
         columns = [c for c in schemas.FILE_LOADS.names if c != "source_file"]
         newest = F.max_by(F.struct(*columns), F.struct("loaded_at", "load_id"))
-        return (
-            self.read("file_loads").groupBy("source_file").agg(newest.alias("l")).select("source_file", "l.*")
-        )
+        loads = self.read("file_loads").join(self.committed(), "load_id", "left_semi")
+        return loads.groupBy("source_file").agg(newest.alias("l")).select("source_file", "l.*")
 
     def live(self, table: str) -> DataFrame:
-        """Rows of the newest committed load of every file."""
-        return self.read(table).join(
-            self.live_loads().select("source_file", "load_id"), ["source_file", "load_id"], "left_semi"
+        """Rows of committed loads, without what a later load of the same file replaced.
+
+        Both lists are short (one row per load, one per replaced file), so the large table
+        is filtered where it is read.
+        """
+        by = self.committed().withColumnRenamed("load_id", "by_load_id")
+        gone = self.read("superseded").join(by, "by_load_id", "left_semi").select("source_file", "load_id")
+        return (
+            self.read(table)
+            .join(self.committed(), "load_id", "left_semi")
+            .join(gone, ["source_file", "load_id"], "left_anti")
         )
 
     def registry(self) -> DataFrame:

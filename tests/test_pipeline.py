@@ -97,26 +97,43 @@ def test_only_bad_files_fail_the_run(spark, tmp_path):
     assert run.status == "failed" and "RuntimeError" in run.error_details
 
 
+def lost(*_):
+    raise OSError("lost")
+
+
 def test_a_run_that_died_is_taken_up_again(spark, tmp_path, folder, monkeypatch):
+    """Dying just before the last step leaves the old state; the same load id may be used again."""
     store = Store(spark, str(tmp_path / "out"))
     with monkeypatch.context() as patch:
-        patch.setattr(pipeline, "commit", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        patch.setattr(pipeline, "publish", lost)
         with pytest.raises(OSError):
             pipeline.run(store, str(folder), load_id="first")
     assert facts(store) == []
     pipeline.run(store, str(folder), load_id="first")
     assert facts(store) == FIRST
 
+    write_workbook(folder / "b.xlsx", {"south": sheet(["Doctors", 9, None])})
+    with monkeypatch.context() as patch:
+        patch.setattr(pipeline, "publish", lost)
+        with pytest.raises(OSError):
+            pipeline.run(store, str(folder), load_id="second")
+    assert facts(store) == FIRST
+    pipeline.run(store, str(folder), load_id="third")
+    assert facts(store) == [*FIRST[:3], ("b.xlsx", "Doctors", "2016/17", 9.0)]
+
 
 def test_raw_csv_folder(spark, tmp_path):
     source = tmp_path / "raw"
     source.mkdir()
+    (source / "b.csv").write_bytes("0,1,2\nIndicator,2016/17,2017/18\ncafés,3,x\n".encode("latin-1"))
     (source / "a_north.csv").write_text('0,1,2\nYearly,,\nIndicator,2016/17,2017/18\nBeds,"1,200",7\n')
     store = Store(spark, str(tmp_path / "out"))
     pipeline.ingest_csv(store, str(source), "one", width=8)
     pipeline.transform(store, "one")
     pipeline.load(store, "one")
-    assert [f[1:] for f in facts(store)] == [("Beds", "2016/17", 1200.0), ("Beds", "2017/18", 7.0)]
+    assert [f[1:] for f in facts(store)] == [
+        ("Beds", "2016/17", 1200.0), ("Beds", "2017/18", 7.0), ("cafés", "2016/17", 3.0),
+    ]
 
 
 def test_first_completion_wins(spark, tmp_path):

@@ -51,7 +51,7 @@ HEADLINE = [
     "score_by_run",
     "file_change_detect",
 ]
-PIPELINE = ("pipeline_grid", "pipeline_transform", "pipeline_load")
+STAGES = ("sheets_to_grid", "grid_to_long", "long_to_star")
 
 
 def timed(action) -> float:
@@ -65,7 +65,7 @@ def consume(rows) -> None:
     rows.write.format("noop").mode("overwrite").save()
 
 
-def pipeline_times(spark, folder: str) -> tuple[dict[str, float], int]:
+def stage_times(spark, folder: str) -> tuple[dict[str, float], int]:
     """Sheets to star schema, once to warm up and once measured."""
     store = Store(spark, tempfile.mkdtemp(prefix="cellstar-bench-"))
     times: dict[str, float] = {}
@@ -76,7 +76,7 @@ def pipeline_times(spark, folder: str) -> tuple[dict[str, float], int]:
             lambda: pipeline.transform(store, load_id),
             lambda: pipeline.load(store, load_id),
         )
-        times = {name: timed(step) for name, step in zip(PIPELINE, steps)}
+        times = {name: timed(step) for name, step in zip(STAGES, steps)}
     return times, store.live("facts").count()
 
 
@@ -97,9 +97,9 @@ def main() -> None:
     for key in HEADLINE:
         consume(QUERIES[key](spark, folder))
         queries[key] = min(timed(lambda: consume(QUERIES[key](spark, folder))) for _ in range(2))
-    stages, facts = pipeline_times(spark, folder)
+    stages, facts = stage_times(spark, folder)
     queries.update(stages)
-    loading = stages["pipeline_transform"] + stages["pipeline_load"]
+    loading = stages["grid_to_long"] + stages["long_to_star"]
     print(
         json.dumps(
             {
@@ -110,8 +110,8 @@ def main() -> None:
                 "sf": Path(folder).name.removeprefix("sf"),
                 "cpus": int(cpus),
                 "spark": spark.version,
-                "pipeline_facts": facts,
-                "pipeline_facts_per_sec": round(facts / loading),
+                "facts_loaded": facts,
+                "facts_per_sec": round(facts / loading),
             }
         )
     )

@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellstar.llm import simhash
+from cellstar.llm import bpe, mixing, simhash, urls
+
+
+#: Default place of the public tokenizer file; a parameter of the operator.
+WORD_BPE = "word_bpe_49k.json"
+
+
+def tokenizer_path(name: str = WORD_BPE) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,7 +32,29 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = bpe.encode(_table(spark, sf_dir, "documents"), tokenizer_path(), keep_ids=False)
+    return rows.withColumnRenamed("id", "doc_id")
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"))
+    columns = [F.col(f"mixed.{c}") for c in ("size", "source_size", "target")]
+    taken = F.aggregate("mixed.draws", F.lit(0).cast("long"), lambda n, d: n + d["words"])
+    return mixed.select("doc_id", *columns, taken.alias("taken"))
+
+
+def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(_table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op3_bpe": op3_bpe,
+    "op5_mixing": op5_mixing,
+    "op8_urls": op8_urls,
+}
+ORACLE: dict[str, str] = {
+    "op5_mixing": mixing.ORACLE,
+    "op8_urls": urls.oracle(),
 }
-ORACLE: dict[str, str] = {}

@@ -98,20 +98,20 @@ def _key(doc_id: Column) -> Column:
 def mix(
     docs: DataFrame, shards: int = 16, seed: int = 7, cut: bool = True, weights: Sequence[int] = WEIGHTS,
     share: float = 1.5, most: float = 2.0, id_column: str = "doc_id", text_column: str = "text",
-    source_column: str = "source",
+    source_column: str = "source", name: str = "mixed",
 ) -> DataFrame:
-    """``docs`` with a struct ``mixed``: size, source_size, target, taken, and draws (pass, shard, words).
+    """``docs`` with a struct ``name``: size, source_size, target, taken, and draws (pass, shard, words).
 
     A document is drawn once per whole pass, and once more if the last pass reaches it. With ``cut`` the
     document at its end gives just the words still due, so that a source gives floor(target) words;
     without, it is drawn whole if at least half of it is due. Null and blank texts have no words and
     nothing to give. Repeated rows are documents of their own; those equal in id, words and text may
-    stand for each other. Null is a source like any other. A column ``mixed`` is replaced.
+    stand for each other. Null is a source like any other. A column ``name`` is replaced.
 
     The recipe (a row per source) passes through the driver; documents and blocks do not.
     """
     text, doc_id, source = (F.col(f"`{c}`") for c in (text_column, id_column, source_column))
-    docs = docs.drop("mixed")
+    docs = docs.drop(name)
     sized = docs.select(source.alias("source"), _block(doc_id).alias("block"), words(text).alias("size"))
     blocks = sized.groupBy("source", "block").agg(F.sum("size").alias("size"))
     recipe = _recipe(blocks, shards, seed, weights, share, most)
@@ -147,7 +147,7 @@ def mix(
         F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"),
         taken.alias("taken"), F.array_compact(F.array(*passes)).alias("draws"),
     )
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns], mixed.alias("mixed"))
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns], mixed.alias(name))
 
 
 _RECIPE = (
@@ -184,12 +184,16 @@ def _recipe(blocks: DataFrame, shards: int, seed: int, weights: Sequence[int], s
     return table
 
 
-def shard_rows(mixed: DataFrame, seed: int = 7) -> DataFrame:
-    """A row per draw (columns of the documents, shard, pass, words), laid out by shard in a random local order."""
-    rows = mixed.select("*", F.inline("mixed.draws")).drop("mixed")
-    rest = [c for c in mixed.columns if c != "mixed"]
-    order = F.xxhash64(F.lit(seed), "pass", *[F.col(f"`{c}`") for c in rest])
-    return rows.withColumn("_order", order).repartition("shard").sortWithinPartitions("shard", "_order").drop("_order")
+def shard_rows(mixed: DataFrame, seed: int = 7, prefix: str = "", name: str = "mixed") -> DataFrame:
+    """A row per draw (columns of the documents, pass, shard, words), laid out by shard in a random local order.
+
+    ``prefix`` goes before the added names; columns of the documents that have one are replaced.
+    """
+    added = [f"{prefix}{c}" for c in ("pass", "shard", "words")]
+    rest = [c for c in mixed.columns if c not in (name, *added)]
+    rows = mixed.select(*[F.col(f"`{c}`") for c in rest], F.inline(F.col(name)["draws"]).alias(*added))
+    order = F.xxhash64(F.lit(seed), added[0], *[F.col(f"`{c}`") for c in rest])
+    return rows.repartition(added[1]).sortWithinPartitions(added[1], order)
 
 
 #: Rows of the query: the same order and recipe over whole tables.

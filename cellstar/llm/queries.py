@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellstar.llm import bpe, mixing, simhash, urls
+from cellstar.llm import bpe, language, mixing, pii, simhash, urls
 
 
 #: Default place of the public tokenizer file; a parameter of the operator.
@@ -44,6 +44,29 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", *columns, taken.alias("taken"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    spans = pii.find(docs, pii.train(docs))
+
+    def listed(found: Column) -> Column:
+        return F.array_join(F.transform(found, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    base = F.filter("spans", lambda s: s["base"])
+    return spans.select(
+        F.col("id").alias("doc_id"), *[_count(base, kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"),
+    )
+
+
+def _count(spans: Column, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(_table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
 
@@ -52,7 +75,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op3_bpe": op3_bpe,
     "op5_mixing": op5_mixing,
+    "op6_pii": op6_pii,
     "op8_urls": op8_urls,
+    "op9_language": op9_language,
 }
 ORACLE: dict[str, str] = {
     "op5_mixing": mixing.ORACLE,

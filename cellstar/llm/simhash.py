@@ -66,6 +66,19 @@ def fingerprints(docs: DataFrame, shingle: int, id_column: str = "doc_id", text_
     return rows.mapInArrow(run, f"id {kind}, fp bigint")
 
 
+def fingerprinted(docs: DataFrame, shingle: int, name: str, text_column: str = "text") -> DataFrame:
+    """``docs`` with the fingerprint as column ``name``."""
+    place = docs.columns.index(text_column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(place).cast(pa.binary()).to_pylist()
+            prints = np.array([fingerprint(t or b"", shingle) for t in texts], np.uint64).view(np.int64)
+            yield pa.record_batch([*batch.columns, pa.array(prints)], names=[*batch.schema.names, name])
+
+    return docs.mapInArrow(run, docs.limit(0).withColumn(name, F.lit(0).cast("long")).schema)
+
+
 def bit_counts(prints: DataFrame) -> np.ndarray:
     """How often bits i and j are both set, over all rows: 64 x 64 sums made in the tasks."""
 
@@ -246,7 +259,9 @@ def _union(tables: list[DataFrame]) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, shingle: int = 3, radius: int = 2, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """(id, fp, component) of every row of ``docs``: fingerprint and smallest id reachable by links.
+    """(id, fp, component, root) of every row of ``docs``: fingerprint and smallest id reachable by links.
+
+    ``root`` is a fingerprint that stands for the component, whatever the ids.
 
     Rows without words (null, empty, blank) have fingerprint zero and link like any other. Repeated rows
     link to each other. Among null ids the others' smallest counts; where there is none it is null.
@@ -256,12 +271,28 @@ def near_duplicates(
     each = staged(prints.groupBy("fp").agg(F.min("id").alias("id")))
     links = near_links(each.select("fp"), radius)
     if links is None:
-        return prints.join(each.withColumnRenamed("id", "component"), "fp").select("id", "fp", "component")
+        classes = each.select("fp", F.col("id").alias("component"), F.col("fp").alias("root"))
+        return prints.join(classes, "fp").select("id", "fp", "component", "root")
     roots = connected_components(links, "a", "b").select(F.col("node").alias("fp"), F.col("component").alias("root"))
     rooted = each.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     first = rooted.groupBy("root").agg(F.min("id").alias("component"))
-    classes = staged(rooted.join(first, "root").select("fp", "component"))
-    return prints.join(classes, "fp").select("id", "fp", "component")
+    classes = staged(rooted.join(first, "root").select("fp", "component", "root"))
+    return prints.join(classes, "fp").select("id", "fp", "component", "root")
+
+
+def one_of_each(
+    docs: DataFrame, shingle: int = 3, radius: int = 2, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` that stay: of each component the one of smallest id (null last), then fingerprint.
+
+    Of rows equal in both, any one stays.
+    """
+    rows = near_duplicates(docs, shingle, radius, id_column, text_column)
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), F.col("id").alias("_id"), F.col("fp").alias("_fp")))
+    kept = rows.groupBy("root").agg(first.alias("f")).select("f._id", "f._fp")
+    marked = fingerprinted(docs, shingle, "_print", text_column)
+    same = F.col(f"`{id_column}`").eqNullSafe(F.col("_id")) & (F.col("_print") == F.col("_fp"))
+    return marked.join(kept, same, "left_semi").dropDuplicates([id_column, "_print"]).drop("_print")
 
 
 def hex_print(fp: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellstar.llm import bpe, language, mixing, pii, simhash, urls
+from cellstar.llm import bpe, language, mixing, pages, pii, simhash, substrings, urls
 
 
 #: Default place of the public tokenizer file; a parameter of the operator.
@@ -32,11 +32,20 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.remove_repeats(docs)
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = bpe.encode(_table(spark, sf_dir, "documents"), tokenizer_path(), keep_ids=False)
     return rows.withColumnRenamed("id", "doc_id")
 
 
+def op4_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_text(_table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, sf_dir, "documents"))
     columns = [F.col(f"mixed.{c}") for c in ("size", "source_size", "target")]
@@ -73,7 +82,9 @@ def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_substrings": op2_substrings,
     "op3_bpe": op3_bpe,
+    "op4_pages": op4_pages,
     "op5_mixing": op5_mixing,
     "op6_pii": op6_pii,
     "op8_urls": op8_urls,

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,13 @@ from cellstar.session import checkpoint_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in short slices, so that a task holds few long texts as Python objects at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def staged(rows: DataFrame) -> DataFrame:
     """Write ``rows`` to a new table in the shared folder and read it back.
 

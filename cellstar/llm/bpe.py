@@ -16,15 +16,18 @@ import json
 import unicodedata
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cellstar.llm.shared import slices
+
 #: Longest word (in parts) that is scanned rather than queued, and longest chunk kept.
 SHORT = 96
 #: Chunks a worker keeps.
-KEPT = 400_000
+KEPT = 200_000
 #: Unicode white space, as the vocabulary's normalizer replaces it.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: What Python's str.split() takes for white space beyond that.
@@ -44,6 +47,8 @@ def byte_characters() -> list[str]:
 class Vocabulary:
     """A tokenizer file: words to ids and back."""
 
+    kept = KEPT
+
     def __init__(self, content: str):
         file = json.loads(content)
         model = file["model"]
@@ -112,7 +117,7 @@ class Vocabulary:
         ids = tuple(i for w in _WORD.findall(text) for i in self.word(w))
         entry = (len(ids), " ".join(map(str, ids)), self.decode(ids), ids)
         if len(chunk) <= SHORT:
-            if len(self._known) >= KEPT:
+            if len(self._known) >= self.kept:
                 self._known.clear()
             self._known[chunk] = entry
         return entry
@@ -141,11 +146,12 @@ class Vocabulary:
 _LOADED: dict[str, Vocabulary] = {}
 
 
-def vocabulary(content: str) -> Vocabulary:
-    """The vocabulary of a tokenizer file's text, parsed once per worker."""
+def vocabulary(content: str, kept: int = KEPT) -> Vocabulary:
+    """The vocabulary of a tokenizer file's text, parsed once per worker, keeping that many chunks."""
     key = hashlib.sha256(content.encode()).hexdigest()
     if key not in _LOADED:
         _LOADED[key] = Vocabulary(content)
+    _LOADED[key].kept = kept
     return _LOADED[key]
 
 
@@ -156,21 +162,22 @@ def _shared(frame: DataFrame, path: str):
 
 
 def encode(
-    docs: DataFrame, path: str, keep_ids: bool = True, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame, path: str, keep_ids: bool = True, id_column: str = "doc_id", text_column: str = "text",
+    kept: int = KEPT,
 ) -> DataFrame:
     """(id, n_tokens, ids_sha256, decoded_sha256[, ids]) of every row; a null text is empty.
 
     ``path`` is the tokenizer file on the driver. The digests are of the decimal ids joined by a space
-    and of the decoded text. Repeated rows and null ids stay as they are; an empty text has no ids.
+    and of the decoded text. ``kept`` bounds the chunks a worker keeps, about half a kilobyte each. Repeated rows and null ids stay as they are; an empty text has no ids.
     """
     content = _shared(docs, path)
     rows = docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = vocabulary(content.value)
+        known = vocabulary(content.value, kept)
         sha = hashlib.sha256
-        for batch in batches:
+        for batch in slices(batches):
             counts, digests, texts, ids = [], [], [], []
             for text in batch.column(1).to_pylist():
                 entries = known.entries(text or "")
@@ -179,7 +186,7 @@ def encode(
                 digests.append(sha(" ".join([e[1] for e in entries if e[0]]).encode()).hexdigest())
                 texts.append(sha(" ".join([e[2] for e in entries if e[0]]).encode()).hexdigest())
                 if keep_ids:
-                    ids.append([i for e in entries for i in e[3]])
+                    ids.append(np.fromiter((i for e in entries for i in e[3]), np.int32, counts[-1]))
             columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(texts, pa.string())]
             names = ["id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if keep_ids:
@@ -199,7 +206,7 @@ def decode(rows: DataFrame, path: str, id_column: str = "id", ids_column: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabulary(content.value)
-        for batch in batches:
+        for batch in slices(batches):
             texts = [known.decode(ids or []) for ids in batch.column(1).to_pylist()]
             yield pa.record_batch([batch.column(0), pa.array(texts, pa.string())], names=["id", "text"])
 

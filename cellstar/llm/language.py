@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellstar.llm.shared import staged
+from cellstar.llm.shared import slices, staged
 
 PLACES = 1 << 14
 #: Labelled documents the classifier is fitted on: in all, and of one language.
@@ -157,8 +157,8 @@ def train(labelled: DataFrame, id_column: str = "doc_id", text_column: str = "te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, documents = np.zeros(PLACES, np.int64), 0
-        kept: dict[str, list[tuple[int, int, np.ndarray]]] = {}
-        for batch in batches:
+        kept: dict[str, list[tuple[int, int, np.ndarray, np.ndarray]]] = {}
+        for batch in slices(batches):
             for h, text, lang in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 counts = gram_counts(text)
                 if counts is None:
@@ -167,15 +167,14 @@ def train(labelled: DataFrame, id_column: str = "doc_id", text_column: str = "te
                 documents += 1
                 if h <= below[lang]:
                     heap = kept.setdefault(lang, [])
-                    heapq.heappush(heap, (-h, documents, counts.astype(np.uint32)))
+                    at = np.flatnonzero(counts).astype(np.int32)
+                    heapq.heappush(heap, (-h, documents, at, counts[at].astype(np.int32)))
                     if len(heap) > most:
                         heapq.heappop(heap)
         places = np.flatnonzero(found)
         out = [(None, documents, places, found[places])]
         for lang, heap in kept.items():
-            for h, _, counts in heap:
-                at = np.flatnonzero(counts)
-                out.append((lang, -h, at, counts[at]))
+            out += [(lang, -h, at, n) for h, _, at, n in heap]
         for part in range(0, len(out), 64):
             columns = list(zip(*out[part : part + 64], strict=True))
             yield pa.record_batch(
@@ -222,7 +221,7 @@ def predict(docs: DataFrame, model: Model, text_column: str = "text", prefix: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             found = [known.predict(t) for t in batch.column(place).to_pylist()]
             columns = [pa.array([f[i] for f in found], t) for i, t in enumerate((pa.string(), pa.float64()))]
             yield pa.record_batch([*batch.columns, *columns], names=[*batch.schema.names, *names])

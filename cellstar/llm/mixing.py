@@ -116,35 +116,35 @@ def mix(
     blocks = sized.groupBy("source", "block").agg(F.sum("size").alias("size"))
     recipe = _recipe(blocks, shards, seed, weights, share, most)
     plan = docs.sparkSession.createDataFrame(recipe, _RECIPE)
-    plan = plan.select(*[F.col(c).alias(f"_{c}") for c in plan.columns])
-    placed = docs.select("*", _block(doc_id).alias("_block")).join(plan, source.eqNullSafe(F.col("_source")))
+    plan = plan.select(*[F.col(c).alias(f"__{c}") for c in plan.columns])
+    placed = docs.select("*", _block(doc_id).alias("__block")).join(plan, source.eqNullSafe(F.col("__source")))
     # Only the block in which the last pass ends needs an order among its documents.
-    at_end = F.col("_block") == F.col("_end")
-    whole = placed.where(~at_end).withColumn("_size", words(text)).withColumn(
-        "_extra", F.when(F.col("_block") < F.col("_end"), F.col("_size")).otherwise(F.lit(0).cast("long"))
+    at_end = F.col("__block") == F.col("__end")
+    whole = placed.where(~at_end).withColumn("__size", words(text)).withColumn(
+        "__extra", F.when(F.col("__block") < F.col("__end"), F.col("__size")).otherwise(F.lit(0).cast("long"))
     )
-    last = placed.where(at_end).withColumn("_size", words(text))
-    order = Window.partitionBy("_source").orderBy(_key(doc_id), "_size", F.xxhash64(text))
-    before = F.coalesce(F.sum("_size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    due = F.greatest(F.lit(0).cast("long"), F.least("_size", F.col("_due") - before))
+    last = placed.where(at_end).withColumn("__size", words(text))
+    order = Window.partitionBy("__source").orderBy(_key(doc_id), "__size", F.xxhash64(text))
+    before = F.coalesce(F.sum("__size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    due = F.greatest(F.lit(0).cast("long"), F.least("__size", F.col("__due") - before))
     if not cut:
-        due = F.when(due * 2 >= F.col("_size"), F.col("_size")).otherwise(F.lit(0).cast("long"))
-    last = last.withColumn("_extra", due)
+        due = F.when(due * 2 >= F.col("__size"), F.col("__size")).otherwise(F.lit(0).cast("long"))
+    last = last.withColumn("__extra", due)
     rows = whole.unionByName(last)
 
     def draw(turn: int, taken: Column, count: Column) -> Column:
-        place = F.col("_starts")[turn] + F.pmod(F.col("_block") + F.col("_turns")[turn], F.greatest(count, F.lit(1)))
-        shard = F.size(F.filter(F.col("_ends"), lambda e: e <= place))
+        place = F.col("__starts")[turn] + F.pmod(F.col("__block") + F.col("__turns")[turn], F.greatest(count, F.lit(1)))
+        shard = F.size(F.filter(F.col("__ends"), lambda e: e <= place))
         return F.when(taken > 0, F.struct(F.lit(turn).alias("pass"), shard.alias("shard"), taken.alias("words")))
 
     passes = [
-        draw(t, F.when(F.col("_passes") > t, F.col("_size")).when(F.col("_passes") == t, F.col("_extra")),
-             F.when(F.col("_passes") > t, F.lit(BLOCKS)).otherwise(F.col("_end") + 1))
+        draw(t, F.when(F.col("__passes") > t, F.col("__size")).when(F.col("__passes") == t, F.col("__extra")),
+             F.when(F.col("__passes") > t, F.lit(BLOCKS)).otherwise(F.col("__end") + 1))
         for t in range(int(np.ceil(most)) + 1)
     ]
-    taken = F.col("_passes") * F.col("_size") + F.col("_extra")
+    taken = F.col("__passes") * F.col("__size") + F.col("__extra")
     mixed = F.struct(
-        F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"),
+        F.col("__size").alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"),
         taken.alias("taken"), F.array_compact(F.array(*passes)).alias("draws"),
     )
     return rows.select(*[F.col(f"`{c}`") for c in docs.columns], mixed.alias(name))

@@ -38,7 +38,7 @@ def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = bpe.encode(_table(spark, sf_dir, "documents"), tokenizer_path(), keep_ids=False)
+    rows = bpe.encode(_table(spark, sf_dir, "documents"), tokenizer_path(), keep_ids=False, kept=400_000)
     return rows.withColumnRenamed("id", "doc_id")
 
 

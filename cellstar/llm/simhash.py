@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellstar.llm.shared import connected_components, staged
+from cellstar.llm.shared import connected_components, slices, staged
 
 BITS = 64
 SEED = 42
@@ -55,7 +55,7 @@ def fingerprints(docs: DataFrame, shingle: int, id_column: str = "doc_id", text_
     """(id, fp) of every row; a null text has no words. ``fp`` holds the 64 bits as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             prints = [fingerprint(t or b"", shingle) for t in batch.column(1).to_pylist()]
             yield pa.record_batch(
                 [batch.column(0), pa.array(np.array(prints, np.uint64).view(np.int64))], names=["id", "fp"]
@@ -71,7 +71,7 @@ def fingerprinted(docs: DataFrame, shingle: int, name: str, text_column: str = "
     place = docs.columns.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(place).cast(pa.binary()).to_pylist()
             prints = np.array([fingerprint(t or b"", shingle) for t in texts], np.uint64).view(np.int64)
             yield pa.record_batch([*batch.columns, pa.array(prints)], names=[*batch.schema.names, name])
@@ -288,11 +288,11 @@ def one_of_each(
     Of rows equal in both, any one stays.
     """
     rows = near_duplicates(docs, shingle, radius, id_column, text_column)
-    first = F.min(F.struct(F.col("id").isNull().alias("last"), F.col("id").alias("_id"), F.col("fp").alias("_fp")))
-    kept = rows.groupBy("root").agg(first.alias("f")).select("f._id", "f._fp")
-    marked = fingerprinted(docs, shingle, "_print", text_column)
-    same = F.col(f"`{id_column}`").eqNullSafe(F.col("_id")) & (F.col("_print") == F.col("_fp"))
-    return marked.join(kept, same, "left_semi").dropDuplicates([id_column, "_print"]).drop("_print")
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), F.col("id").alias("__id"), F.col("fp").alias("__fp")))
+    kept = rows.groupBy("root").agg(first.alias("f")).select("f.__id", "f.__fp")
+    marked = fingerprinted(docs, shingle, "__print", text_column)
+    same = F.col(f"`{id_column}`").eqNullSafe(F.col("__id")) & (F.col("__print") == F.col("__fp"))
+    return marked.join(kept, same, "left_semi").dropDuplicates([id_column, "__print"]).drop("__print")
 
 
 def hex_print(fp: Column) -> Column:

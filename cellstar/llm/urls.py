@@ -110,15 +110,15 @@ def judge(
     """
     added = ("host", "path", "rule", "verdict", "pattern")
     rest = [F.col(f"`{c}`") for c in pages.columns if c not in added]
-    named = pages.select(*rest, F.col(f"`{url_column}`").alias("_url"))
-    hits = matched_patterns(named.select(F.col("_url").alias("url")), patterns)
-    hits = hits.select(F.col("url").alias("_hit"), F.col("blocked").alias("_blocked"), F.col("pattern").alias("_pattern"))
-    joined = named.join(hits, F.col("_url") == F.col("_hit"), "left")
-    rule = site_rule(host(F.col("_url")), path(F.col("_url")), sites)
-    by_pattern = F.when(F.col("_blocked"), F.lit("block")).otherwise(F.lit("allow"))
+    named = pages.select(*rest, F.col(f"`{url_column}`").alias("__url"))
+    hits = matched_patterns(named.select(F.col("__url").alias("url")), patterns)
+    hits = hits.select(F.col("url").alias("__hit"), F.col("blocked").alias("__blocked"), F.col("pattern").alias("__pattern"))
+    joined = named.join(hits, F.col("__url") == F.col("__hit"), "left")
+    rule = site_rule(host(F.col("__url")), path(F.col("__url")), sites)
+    by_pattern = F.when(F.col("__blocked"), F.lit("block")).otherwise(F.lit("allow"))
     return joined.select(
-        *rest, host(F.col("_url")).alias("host"), path(F.col("_url")).alias("path"), rule["rule"].alias("rule"),
-        F.coalesce(rule["verdict"], by_pattern).alias("verdict"), F.col("_pattern").alias("pattern"),
+        *rest, host(F.col("__url")).alias("host"), path(F.col("__url")).alias("path"), rule["rule"].alias("rule"),
+        F.coalesce(rule["verdict"], by_pattern).alias("verdict"), F.col("__pattern").alias("pattern"),
     )
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellstar.llm import bpe, language, mixing, pages, pii, simhash, substrings, urls
+from cellstar.llm import bpe, language, mixing, near_vectors, pages, pii, simhash, substrings, top_products, urls
 
 
 #: Default place of the public tokenizer file; a parameter of the operator.
@@ -80,6 +80,15 @@ def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(_table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_vectors.near_duplicates(_table(spark, sf_dir, "embeddings"), threshold=0.9)
+    return found.withColumnRenamed("id", "vec_id").withColumnRenamed("component", "component_id")
+
+
+def op10_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_products.top_k(_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_substrings": op2_substrings,
@@ -87,8 +96,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_pages": op4_pages,
     "op5_mixing": op5_mixing,
     "op6_pii": op6_pii,
+    "op7_near_vectors": op7_near_vectors,
     "op8_urls": op8_urls,
     "op9_language": op9_language,
+    "op10_top_products": op10_top_products,
 }
 ORACLE: dict[str, str] = {
     "op5_mixing": mixing.ORACLE,

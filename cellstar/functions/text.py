@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 # White space removed at both ends of a cell.
 WHITESPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
 
-# Fixed value: longest indicator key.
-KEY_LENGTH = 255
-
 
 def strip(text: Column) -> Column:
     return F.trim(text, F.lit(WHITESPACE))
@@ -22,8 +19,8 @@ def blank_to_null(text: Column) -> Column:
 
 
 def indicator_key(name: Column) -> Column:
-    """Lower case, spaces to underscores, cut at the key length."""
-    return F.substring(F.replace(F.lower(name), F.lit(" "), F.lit("_")), 1, KEY_LENGTH)
+    """Lower case, spaces to underscores; the whole name, so that names that differ late stay apart."""
+    return F.replace(F.lower(name), F.lit(" "), F.lit("_"))
 
 
 def safe_name(name: Column) -> Column:

@@ -19,9 +19,6 @@ SHEET = ["source_file", "sheet"]
 HEADER_SCAN_ROWS = 10
 MIN_PERIOD_CELLS = 2
 
-# Layouts are shipped up to this many period columns (some 100 bytes each).
-SHIPPED_PERIODS = 500_000
-
 # Rows of one sheet that share a join key when the layout is joined to the grid.
 BLOCK_ROWS = 100_000
 
@@ -157,24 +154,16 @@ def period_columns(layouts: DataFrame) -> DataFrame:
     return layouts.select(*SHEET, F.inline("periods")).select(*SHEET, "col_idx", "name", "base")
 
 
-def layouts_fit(layouts: DataFrame, limit: int = SHIPPED_PERIODS) -> bool:
-    """Whether all layouts together are small enough to ship to every executor."""
-    return (layouts.agg(F.sum(F.size("periods") + 1)).first()[0] or 0) <= limit
-
-
-def unpivot(grid: DataFrame, layouts: DataFrame, ship_layouts: bool = False) -> DataFrame:
+def unpivot(grid: DataFrame, layouts: DataFrame) -> DataFrame:
     """One record per (data row, period column), empty cells included.
 
-    With ``ship_layouts`` (see :func:`layouts_fit`) the grid is not shuffled at all.
-    Otherwise the layout is joined per block of rows, so a sheet that holds a large
-    share of all rows spreads over as many join keys as it has blocks.
+    The layout is joined per block of rows, so a sheet that holds a large share of all
+    rows spreads over as many join keys as it has blocks. Spark ships the layouts instead
+    where it finds them small enough.
     """
-    if ship_layouts:
-        data = grid.join(F.broadcast(layouts), SHEET)
-    else:
-        blocked = grid.withColumn("_block", _block())
-        blocks = blocked.select(*SHEET, "_block").distinct()
-        data = blocked.join(layouts.join(blocks, SHEET), [*SHEET, "_block"])
+    blocked = grid.withColumn("_block", _block())
+    blocks = blocked.select(*SHEET, "_block").distinct()
+    data = blocked.join(layouts.join(blocks, SHEET), [*SHEET, "_block"])
     data = data.where((F.col("row_idx") > F.col("header_row")) & _has_cells())
     pairs = F.transform(
         "periods",

@@ -327,7 +327,10 @@ def average_ranking(facts: DataFrame, indicators: DataFrame, limit: int = 10) ->
 
 
 def random_sample(facts: DataFrame, limit: int = 10, seed: int | None = None) -> DataFrame:
-    return facts.orderBy(F.rand(seed)).limit(limit)
+    """``limit`` random facts; with a seed always the same ones, by a hash of seed and key."""
+    if seed is None:
+        return facts.orderBy(F.rand()).limit(limit)
+    return facts.orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), "fact_id")), "fact_id").limit(limit)
 
 
 def distinct_counts(facts: DataFrame, approximate: bool = False) -> DataFrame:

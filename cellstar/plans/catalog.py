@@ -22,6 +22,7 @@ CREATE OR REPLACE TEMPORARY FUNCTION get_field_lineage(wanted_table STRING, want
 RETURNS TABLE (source_file STRING, source_column STRING, transformation_logic STRING, last_updated TIMESTAMP)
 RETURN SELECT DISTINCT source_file, source_column, transformation_logic, recorded_at
        FROM field_lineage WHERE target_table = wanted_table AND target_column = wanted_column
+       ORDER BY recorded_at DESC
 """
 
 

@@ -212,7 +212,9 @@ def rankings(
     chosen = F.lit(period) if period else dates.agg(F.max("period_label")).scalar()
     wanted = dates.where(F.col("period_label") == chosen).select("date_id", "period_label")
 
-    pairs = reduce_facts(facts, "indicator_id", "date_id").join(wanted, "date_id")
+    # Facts of other periods go before they are grouped.
+    of_period = facts.join(wanted.select("date_id"), "date_id", "left_semi")
+    pairs = reduce_facts(of_period, "indicator_id", "date_id").join(wanted, "date_id")
     per = merged(pairs, "indicator_id", "period_label").join(indicator_dim, "indicator_id")
     score = F.col("total") if metric == "total_value" else mean()
     best = [F.col("score").desc_nulls_first(), F.col("indicator_name").asc_nulls_last()]

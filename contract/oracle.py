@@ -49,7 +49,7 @@ def parsed(text: str) -> str:
 
 
 def key_of(name: str) -> str:
-    return f"substr(replace(lower({name}), ' ', '_'), 1, 255)"
+    return f"replace(lower({name}), ' ', '_')"
 
 
 # -- inputs, in order of dependence --------------------------------------------
@@ -132,10 +132,10 @@ INPUTS: dict[str, str] = {
         UNION ALL
         SELECT n_periods + 2, label || '_1', label, date_id, TRUE FROM periods WHERE is_last""",
     "data_rows": """
-        SELECT DISTINCT source_file, sheet, indicator_id, l_linenumber, indicator_id * 8 + l_linenumber + 2 AS row_idx
+        SELECT DISTINCT source_file, sheet, indicator_id, s_name, l_linenumber, indicator_id * 8 + l_linenumber + 2 AS row_idx
         FROM sums JOIN owners USING (indicator_id)""",
     "cells": """
-        SELECT d.source_file, d.sheet, d.row_idx, c.col_idx, c.name AS year_label, c.base AS period_label,
+        SELECT d.source_file, d.sheet, d.row_idx, ' ' || d.s_name AS indicator, c.col_idx, c.name AS year_label, c.base AS period_label,
                CASE WHEN c.again THEN CAST(s.n AS VARCHAR) WHEN s.n <= 3 THEN 'n.a.'
                     ELSE format('{:,.2f}', CAST(s.total AS DOUBLE)) END AS text
         FROM data_rows d CROSS JOIN columns c
@@ -287,17 +287,19 @@ ORACLE: dict[str, str] = {
     "id_column": sql("data_rows", """
         SELECT DISTINCT source_file, sheet, 0 AS id_col, 'Indicator' AS id_name FROM data_rows"""),
     "unpivot_years": sql("cells", """
-        SELECT source_file, sheet, CAST(row_idx AS BIGINT) AS row_idx, year_label, period_label, text
+        SELECT source_file, sheet, CAST(row_idx AS BIGINT) AS row_idx, indicator, year_label, period_label, text
         FROM cells c WHERE EXISTS (SELECT 1 FROM cells o WHERE o.source_file = c.source_file AND o.sheet = c.sheet
                                    AND o.col_idx = c.col_idx AND o.text IS NOT NULL)"""),
     "drop_null_values": sql("cells", """
-        SELECT source_file, sheet, CAST(row_idx AS BIGINT) AS row_idx, year_label, text FROM cells WHERE text IS NOT NULL"""),
+        SELECT source_file, sheet, CAST(row_idx AS BIGINT) AS row_idx, indicator, year_label, text FROM cells WHERE text IS NOT NULL"""),
     "clean_numeric": sql("numbers", f"SELECT text, {parsed('text')} AS value FROM numbers"),
     "sheets_without_data": "SELECT r_name || '.xlsx' AS source_file, 'About' AS sheet FROM region",
     "row_accounting": sql("cells", f"""
         SELECT source_file, sheet, COUNT(text) AS records_input, COUNT({parsed('text')}) AS records_output,
                COUNT(text) - COUNT({parsed('text')}) AS records_rejected
         FROM cells GROUP BY source_file, sheet"""),
+    "random_sample": sql("facts", """
+        SELECT * REPLACE (CAST(value AS DOUBLE) AS value) FROM facts ORDER BY md5('7:' || fact_id), fact_id LIMIT 10"""),
     # -- warehouse
     "dim_indicator_build": sql("names", f"""
         SELECT {dense('indicator_key')} AS indicator_id, indicator_key, indicator_name, CAST(NULL AS VARCHAR) AS category

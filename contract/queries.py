@@ -81,12 +81,14 @@ def _unpivoted(i: Inputs) -> DataFrame:
 
 
 def unpivot_years(i: Inputs) -> DataFrame:
-    return _unpivoted(i).select("source_file", "sheet", "row_idx", "year_label", "period_label", "text")
+    return _unpivoted(i).select(
+        "source_file", "sheet", "row_idx", "indicator", "year_label", "period_label", "text"
+    )
 
 
 def drop_null_values(i: Inputs) -> DataFrame:
     kept = sheets.drop_empty_values(_unpivoted(i))
-    return kept.select("source_file", "sheet", "row_idx", "year_label", "text")
+    return kept.select("source_file", "sheet", "row_idx", "indicator", "year_label", "text")
 
 
 def clean_numeric(i: Inputs) -> DataFrame:
@@ -249,7 +251,7 @@ _ON_INPUTS: dict[str, Callable[[Inputs], DataFrame]] = {
     "quarter_pattern": lambda i: book.quarter_pattern(i.facts, i.dates),
     "summary_report": lambda i: book.summary_report(i.facts, i.indicators, i.dates),
     "average_ranking": lambda i: book.average_ranking(i.facts, i.indicators),
-    "random_sample": lambda i: book.random_sample(i.facts.withColumn("value", F.col("value").cast("double"))),
+    "random_sample": lambda i: book.random_sample(i.facts.withColumn("value", F.col("value").cast("double")), seed=7),
     "distinct_counts": lambda i: book.distinct_counts(i.facts),
     "latest_period": lambda i: book.latest_period(i.facts, i.indicators, i.dates),
     "indicator_summary": lambda i: book.indicator_summary(i.facts, i.indicators, i.dates),

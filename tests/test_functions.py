@@ -37,7 +37,7 @@ def test_periods(spark):
 
 
 def test_names(spark):
-    assert apply(spark, indicator_key, ["Hosp A", "HOSP_A", "x" * 300, None]) == ["hosp_a", "hosp_a", "x" * 255, None]
+    assert apply(spark, indicator_key, ["Hosp A", "HOSP_A", "x" * 300, None]) == ["hosp_a", "hosp_a", "x" * 300, None]
     assert apply(spark, blank_to_null, [" a\t", "  \n", "", None]) == ["a", None, None, None]
     names = ["Data 2016/17 (rev.)", " é-1 ", "a\nb", "日本"]
     assert apply(spark, safe_name, names) == ["Data_2016_17__rev__", "é-1", "a_b", "日本"]

@@ -12,7 +12,7 @@ def test_names_that_share_a_key_share_a_row(spark):
         "indicator string",
     )
     rows = {r.indicator_key: r.indicator_name for r in warehouse.new_indicators(names).collect()}
-    assert rows == {"hosp_a": "HOSP_A", "hosp_b": "Hosp B", "x" * 255: "x" * 290}
+    assert rows == {"hosp_a": "HOSP_A", "hosp_b": "Hosp B", "x" * 300: "x" * 300, "x" * 290: "x" * 290}
 
 
 def test_upsert_adds_only_new_keys_after_the_last_id(spark):

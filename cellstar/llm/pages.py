@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellstar.llm import urls
+from cellstar.llm.shared import staged
 
 #: Pages of a host that are compared with each other, and how many must share a class.
 GROUP, SUPPORT = 48, 3
@@ -262,9 +263,14 @@ def main_text(
     """
     cells = [F.col(f"`{c}`").alias(n) for c, n in ((id_column, "id"), (url_column, "url"), (html_column, "html"))]
     rows = pages.select(*cells).withColumn("host", urls.host(F.col("url")))
-    sizes = rows.groupBy("host").agg(F.ceil(F.count("*") / GROUP).alias("parts"))
+    # Written, so that Spark knows its size before it plans the join, and need not shuffle the pages for it
+    # where the hosts are few enough to ship.
+    sizes = staged(rows.groupBy("host").agg(F.ceil(F.count("*") / GROUP).alias("parts")))
     salt = F.xxhash64("id", "url", "html")
-    dealt = rows.join(sizes, "host").withColumn("part", F.pmod(salt, F.col("parts"))).drop("parts")
+    # One column names the group: were it (host, part), rows dealt by host for the join would stay as they are,
+    # with all of a large host in one task.
+    group = F.concat_ws("\n", "host", F.pmod(salt, F.col("parts")))
+    dealt = rows.join(sizes, "host").select("id", "url", "html", group.alias("group"))
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(group: pa.Table) -> pa.Table:
@@ -274,4 +280,4 @@ def main_text(
             "n_chars": pa.array(map(len, texts), pa.int64()),
         })
 
-    return dealt.groupBy("host", "part").applyInArrow(run, f"id {kind}, url string, text string, n_chars bigint")
+    return dealt.groupBy("group").applyInArrow(run, f"id {kind}, url string, text string, n_chars bigint")

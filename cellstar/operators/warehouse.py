@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellstar.functions import blank_to_null, indicator_key, period_start, period_year
 from cellstar.operators.checks import metric
-from cellstar.operators.dense_ids import with_dense_ids
+from cellstar.operators.dense_ids import BUCKET_DIGITS, with_dense_ids
 
 
 def _last_id(dimension: DataFrame | None, id_name: str) -> Column | int:
@@ -98,6 +98,41 @@ def with_fact_keys(
     return found.withColumn("location_id", F.lit(None).cast("bigint"))
 
 
+def sheet_offsets(long: DataFrame) -> DataFrame:
+    """``source_file, sheet, width, offset``: where each sheet's rectangle of cells begins.
+
+    Sheets are laid end to end in the order of their hash bucket and name, so the same sheets always
+    get the same places. The windows see a bucket's sheets, and 4096 buckets.
+    """
+    extents = long.groupBy("source_file", "sheet").agg(
+        (F.max("row_idx") + 1).alias("_rows"), (F.max("col_idx") + 1).cast("bigint").alias("width")
+    )
+    size = F.col("_rows") * F.col("width")
+    bucket = F.substring(F.md5(F.concat_ws("/", "source_file", "sheet")), 1, BUCKET_DIGITS)
+    sized = extents.withColumn("_size", size).withColumn("_bucket", bucket)
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = sized.groupBy("_bucket").agg(F.sum("_size").alias("_size")).select(
+        "_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_first")
+    )
+    inside = Window.partitionBy("_bucket").orderBy("source_file", "sheet").rowsBetween(Window.unboundedPreceding, -1)
+    placed = sized.withColumn("_inside", F.coalesce(F.sum("_size").over(inside), F.lit(0)))
+    # At most 4096 rows whatever the input, so always small enough to ship.
+    return placed.join(F.broadcast(buckets), "_bucket").select(
+        "source_file", "sheet", "width", (F.col("_first") + F.col("_inside")).alias("offset")
+    )
+
+
+def with_fact_ids(cells: DataFrame, offsets: DataFrame, last: Column | int = 0) -> DataFrame:
+    """Adds ``fact_id``: the cell's place in the rectangle of its sheet, after ``last``.
+
+    It depends on the sheets of the load alone, not on how rows are partitioned.
+    """
+    last = F.lit(last) if isinstance(last, int) else last
+    place = F.col("offset") + F.col("row_idx") * F.col("width") + F.col("col_idx")
+    joined = cells.join(offsets, ["source_file", "sheet"])
+    return joined.withColumn("fact_id", (last + place + 1).cast("bigint")).drop("offset", "width")
+
+
 def with_location(facts: DataFrame, locations: DataFrame) -> DataFrame:
     """Attach location attributes; facts without a known location stay."""
     return facts.join(

@@ -59,47 +59,47 @@ def ingest(store: Store, content: DataFrame, load_id: str, force: bool = False)
         # What counts as done is a committed load, so a run that died is taken up again.
         done = store.live_loads().select(F.col("source_file").alias("file_path"), "file_hash")
         todo = files.to_process(hashed, done, force).withColumnRenamed("file_path", "path")
-        # Decoded once: grid rows and errors come from the same written table.
         read = store.staged(f"{load_id}-read", workbook.decode_files(todo))
-        errors = store.staged(f"{load_id}-errors", workbook.errors_of(read))
-        grid = workbook.without_errors(read, errors)
-        store.append("grid", grid.withColumn("load_id", F.lit(load_id)))
-
-        written = _of(store, "grid", load_id)
-        rows, failed, *_ = together(
-            written.count,
-            lambda: not errors.isEmpty(),
-            lambda: run.log_checks(error_metrics(errors, "ingestion_success", "raw").unionByName(raw_metrics(written), True)),
-            lambda: run.track_lineage(raw_lineage(written)),
-        )
-        if failed and not rows:
-            raise RuntimeError("all files failed to process")
-
-        now = hashed.select(
-            "file_path",
-            files.file_name(F.col("file_path")).alias("file_name"),
-            "file_hash",
-            F.col("length").alias("file_size_bytes"),
-        )
-        register(store, now, written, errors)
-        run.complete("success", records_input=rows, records_processed=rows, records_loaded=rows)
-    return written.select("source_file").distinct()
+        now = hashed.select("file_path", "file_hash", F.col("length").alias("file_size_bytes"))
+        return _take_in(store, run, load_id, read, now)
 
 
-def ingest_csv(store: Store, folder: str, load_id: str, **options) -> DataFrame:
-    """Read a folder of raw sheet CSVs into the grid table; returns the files read."""
+def ingest_csv(store: Store, folder: str, load_id: str, pattern: str = "*.csv", force: bool = False) -> DataFrame:
+    """Read new and changed raw sheet CSVs into the grid table; returns the files read.
+
+    The files are read once, as lines. One that cannot be parsed becomes a failed check.
+    """
     with Run(store, PIPELINE, "ingestion", source_file=folder, metadata={"load_id": load_id}) as run:
-        grid = csv_sheets.read_raw_csv(
-            store.spark, folder, stage=lambda name, rows: store.staged(f"{load_id}-{name}", rows), **options
+        lines = store.staged(f"{load_id}-lines", csv_sheets.read_lines(store.spark, folder, pattern))
+        seen = store.staged(
+            f"{load_id}-line-files", csv_sheets.line_files(lines).withColumnRenamed("source_file", "file_path")
         )
-        store.append("grid", grid.withColumn("load_id", F.lit(load_id)))
-        written = _of(store, "grid", load_id)
-        rows, *_ = together(
-            written.count,
-            lambda: run.log_checks(raw_metrics(written)),
-            lambda: run.track_lineage(raw_lineage(written)),
-        )
-        run.complete("success", records_input=rows, records_processed=rows, records_loaded=rows)
+        done = store.live_loads().select(F.col("source_file").alias("file_path"), "file_hash")
+        todo = files.to_process(seen, done, force).withColumnRenamed("file_path", "source_file")
+        read = store.staged(f"{load_id}-read", csv_sheets.grid_of(lines, todo))
+        now = seen.select("file_path", "file_hash", F.col("file_size").alias("file_size_bytes"))
+        return _take_in(store, run, load_id, read, now)
+
+
+def _take_in(store: Store, run: Run, load_id: str, read: DataFrame, now: DataFrame) -> DataFrame:
+    """Grid rows and errors of the same written table into the store, with their checks and lineage."""
+    errors = store.staged(f"{load_id}-errors", workbook.errors_of(read))
+    grid = workbook.without_errors(read, errors)
+    store.append("grid", grid.withColumn("load_id", F.lit(load_id)))
+
+    written = _of(store, "grid", load_id)
+    rows, failed, *_ = together(
+        written.count,
+        lambda: not errors.isEmpty(),
+        lambda: run.log_checks(error_metrics(errors, "ingestion_success", "raw").unionByName(raw_metrics(written), True)),
+        lambda: run.track_lineage(raw_lineage(written)),
+    )
+    if failed and not rows:
+        raise RuntimeError("all files failed to process")
+
+    now = now.withColumn("file_name", files.file_name(F.col("file_path")))
+    register(store, now, written, errors)
+    run.complete("success", records_input=rows, records_processed=rows, records_loaded=rows)
     return written.select("source_file").distinct()
 
 
@@ -224,9 +224,10 @@ def load(store: Store, load_id: str, locations: DataFrame | None = None) -> None
         indicators, dates = store.read("dim_indicator"), store.read("dim_date")
 
         last = store.read("file_loads").agg(F.coalesce(F.max("max_fact_id"), F.lit(0))).scalar()
-        keyed = warehouse.with_fact_keys(long, indicators, dates, locations)
+        offsets = store.staged(f"{load_id}-offsets", warehouse.sheet_offsets(long))
+        keyed = warehouse.with_fact_keys(warehouse.with_fact_ids(long, offsets, last), indicators, dates, locations)
         facts = keyed.select(
-            (last + F.monotonically_increasing_id() + 1).alias("fact_id"),
+            "fact_id",
             "indicator_id",
             "date_id",
             "location_id",

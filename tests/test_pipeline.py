@@ -128,12 +128,16 @@ def test_raw_csv_folder(spark, tmp_path):
     (source / "b.csv").write_bytes("0,1,2\nIndicator,2016/17,2017/18\ncafés,3,x\n".encode("latin-1"))
     (source / "a_north.csv").write_text('0,1,2\nYearly,,\nIndicator,2016/17,2017/18\nBeds,"1,200",7\n')
     store = Store(spark, str(tmp_path / "out"))
-    pipeline.ingest_csv(store, str(source), "one", width=8)
+    (source / "c.csv").write_text('Indicator,"2016/17\nx,1\n')
+    assert pipeline.ingest_csv(store, str(source), "one").count() == 2
     pipeline.transform(store, "one")
     pipeline.load(store, "one")
     assert [f[1:] for f in facts(store)] == [
         ("Beds", "2016/17", 1200.0), ("Beds", "2017/18", 7.0), ("cafés", "2016/17", 3.0),
     ]
+    assert sorted(r.file_name for r in store.registry().collect()) == ["a_north.csv", "b.csv"]
+    (source / "c.csv").unlink()
+    assert pipeline.ingest_csv(store, str(source), "two").isEmpty()
 
 
 def test_first_completion_wins(spark, tmp_path):

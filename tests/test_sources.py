@@ -1,3 +1,7 @@
+import csv
+import io
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,53 +60,76 @@ def raw(tmp_path, name, text, encoding="utf-8"):
     (tmp_path / name).write_bytes(text.encode(encoding))
 
 
-def read(spark, tmp_path, **options):
-    rows = csv_sheets.read_raw_csv(spark, str(tmp_path), width=4, **options).orderBy("source_file", "row_idx").collect()
-    return [(r.source_file, r.row_idx, r.cells) for r in rows]
+def read(spark, tmp_path):
+    rows = csv_sheets.read_raw_csv(spark, str(tmp_path)).where("error IS NULL").orderBy("source_file", "row_idx").collect()
+    return [(r.source_file.rsplit("/")[-1], r.row_idx, r.cells) for r in rows]
 
 
 def test_raw_csv(spark, tmp_path):
     raw(tmp_path, "a.csv", '0,1,2\nTitle,,\n"two\nlines",NA,"say ""hi"""\n,"1,200",n/a\n')
-    raw(tmp_path, "b.csv", "Indicator,2016/17\nx,1\n")
+    raw(tmp_path, "b.csv", 'Indicator,2016/17\n\nx,1\n5" pipe,"q"uoted"\n"",2')
     assert read(spark, tmp_path) == [
-        ("a.csv", 0, ["Title", None, None, None]),
-        ("a.csv", 1, ["two\nlines", None, 'say "hi"', None]),
-        ("a.csv", 2, [None, "1,200", None, None]),
-        ("b.csv", 0, ["Indicator", "2016/17", None, None]),
-        ("b.csv", 1, ["x", "1", None, None]),
+        ("a.csv", 0, ["Title", None, None]),
+        ("a.csv", 1, ["two\nlines", None, 'say "hi"']),
+        ("a.csv", 2, [None, "1,200", None]),
+        ("b.csv", 0, ["Indicator", "2016/17"]),
+        ("b.csv", 1, ["x", "1"]),
+        ("b.csv", 2, ['5" pipe', 'quoted"']),
+        ("b.csv", 3, [None, "2"]),
     ]
 
 
-def test_latin_1_files_are_read_again(spark, tmp_path):
+def test_encoding_goes_by_validity(spark, tmp_path):
     raw(tmp_path, "a.csv", "0,1\ncafé,1\n", "latin-1")
-    raw(tmp_path, "b.csv", "0,1\ncafé,1\n")
-    assert [cells[0] for _, _, cells in read(spark, tmp_path)] == ["café", "café"]
+    raw(tmp_path, "b.csv", "0,1\ncafé \ufffd,1\n")
+    assert [cells[0] for _, _, cells in read(spark, tmp_path)] == ["café", "café \ufffd"]
+
+
+@pytest.mark.parametrize("width", [300, 16_384])
+def test_any_width(spark, tmp_path, width):
+    cells = [None if i in (256, 257) else f"c{i}" for i in range(width)]
+    raw(tmp_path, "a.csv", ",".join(c or "" for c in cells) + "\n")
+    assert read(spark, tmp_path) == [("a.csv", 0, cells)]
+
+
+def test_a_file_with_an_open_quote_does_not_stop_the_others(spark, tmp_path):
+    raw(tmp_path, "a.csv", 'x,"never closed\ny,1\n')
+    raw(tmp_path, "b.csv", "x,1\n")
+    rows = csv_sheets.read_raw_csv(spark, str(tmp_path))
+    assert [(r.source_file.rsplit("/")[-1], r.error) for r in workbook.errors_of(rows).collect()] == [("a.csv", csv_sheets.UNCLOSED)]
+    assert read(spark, tmp_path) == [("b.csv", 0, ["x", "1"])]
 
 
-def test_too_wide_a_file_is_refused(spark, tmp_path):
-    raw(tmp_path, "a.csv", "0,1,2,3,4\na,b,c,d,e\n")
-    with pytest.raises(Exception, match="more than 4 columns"):  # raised in a task, wrapped by Spark
-        read(spark, tmp_path)
+def test_splits_change_nothing(spark, tmp_path):
+    """Against the standard library, with line breaks in quotes at the ends of many splits."""
+    source = random.Random(3)
 
+    def cell():
+        text = "".join(source.choice('ab",\n 5') for _ in range(source.randint(1, 12)))
+        return text if source.random() < 0.5 else f"name {source.randint(0, 99)}"
 
-def test_large_files_are_split(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(csv_sheets, "WHOLE_FILE_BYTES", 100)
-    lines = "".join(f"name {i},{i}\n" for i in range(3000))
-    raw(tmp_path, "a.csv", "0,1\n" + lines)
+    rows = [[f"r{i}", *(cell() for _ in range(source.randint(0, 3)))] for i in range(2000)]
+    text = io.StringIO()
+    csv.writer(text, lineterminator="\n").writerows(rows)
+    raw(tmp_path, "a.csv", text.getvalue())
     raw(tmp_path, "b.csv", "0,1\nsmall,1\n")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
-    try:
-        grid = csv_sheets.read_raw_csv(spark, str(tmp_path), width=4).where("source_file = 'a.csv'")
-        rows = grid.orderBy("row_idx").collect()
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    assert [r.cells[0] for r in rows] == [f"name {i}" for i in range(3000)]
-    assert [r.row_idx for r in rows[:10]] == list(range(10))
-    assert len({r.row_idx for r in rows}) == 3000
+    hashes = set()
+    for size in ("512", "4096", "128MB"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            found = read(spark, tmp_path)
+            files_ = csv_sheets.line_files(csv_sheets.read_lines(spark, str(tmp_path))).collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        hashes.add(tuple(sorted(f.file_hash for f in files_)))
+        expected = [[None if c.strip() in csv_sheets.NULL_TEXTS else c for c in row] for row in rows]
+        assert [cells for name, _, cells in found if name == "a.csv"] == expected
+        assert [i for name, i, _ in found if name == "a.csv"] == list(range(2000))
+    assert len(hashes) == 1
 
 
 def test_clean_csv_columns_go_by_position(spark, tmp_path):
-    raw(tmp_path, "a_clean.csv", "Facility,when,amount\n Beds ,2016/17,5.0\n,2017/18,x\n")
+    raw(tmp_path, "a_clean.csv", "Facility,when,amount\n Beds ,2016/17,5.0\n,2017/18,1d\n")
     rows = csv_sheets.read_clean_csv(spark, str(tmp_path)).orderBy("year_label").collect()
     assert [(r.indicator, r.year_label, r.value) for r in rows] == [("Beds", "2016/17", 5.0), (None, "2017/18", None)]
 

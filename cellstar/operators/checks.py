@@ -493,11 +493,11 @@ def results(rows: DataFrame, checks: list[Check]) -> DataFrame:
 
 
 def raw_completeness(grid: DataFrame) -> DataFrame:
-    """Per sheet the share of filled cells in its rows × columns rectangle."""
+    """Per sheet the share of filled cells in its rows × columns rectangle, rows that were left out included."""
     width = F.max(F.size("cells"))
     filled = F.sum(F.size(F.filter("cells", lambda c: c.isNotNull())).cast("bigint"))
     sheets = grid.groupBy("source_file", "sheet").agg(
-        F.count(F.lit(1)).alias("row_count"), width.cast("bigint").alias("column_count"), filled.alias("filled")
+        (F.max("row_idx") + 1).alias("row_count"), width.cast("bigint").alias("column_count"), filled.alias("filled")
     )
     null_share = 1 - F.try_divide(F.col("filled").cast("double"), F.col("row_count") * F.col("column_count"))
     return sheets.where((F.col("row_count") > 0) & (F.col("column_count") > 0)).select(

@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CHUNK_ROWS = 1_000_000
+#: Marks of the quantile sketch that chunks are cut at, the steps they are searched in, and its accuracy.
+MARKS = 2_048
+STEP = 64
+ACCURACY = 20_000
+
+
+def _piece(key: Column, marks: Column) -> Column:
+    """How many of the sorted marks lie below the key, looked up in two steps."""
+    coarse = F.filter(marks, lambda m, i: i % STEP == STEP - 1)
+    blocks = F.size(F.filter(coarse, lambda m: m < key)) * STEP
+    return blocks + F.size(F.filter(F.slice(marks, blocks + 1, STEP), lambda m: m < key))
 
 
 def with_previous(
@@ -18,25 +29,37 @@ def with_previous(
     value: str,
     prev_name: str = "prev_value",
     chunk_rows: int = CHUNK_ROWS,
+    keep_chunk: bool = False,
 ) -> DataFrame:
     """``LAG(value)`` per ``series`` in the order (slot_order, slot, row_id, value).
 
     ``slots`` lists the slots (periods) with their ``slot_order`` columns; rows of other
     slots are left out. A series is cut into chunks: its slots, and within a slot ranges
-    of ``row_id`` of about ``chunk_rows`` rows of the whole input. The large window runs
-    per chunk; a small one over one tail row per chunk supplies what precedes the first
-    row of each chunk.
+    of ``row_id`` that hold about ``chunk_rows`` rows of the whole input, or its share of
+    MARKS once there are more; rows without an id come last, in ranges of ``value``. The
+    large window runs per chunk; a small one over one tail row per chunk supplies what
+    precedes the first row of each chunk. ``keep_chunk`` keeps the number of the range as ``_chunk``.
     """
-    rid = F.col(row_id).cast("double")
+    rid, amount = F.col(row_id).cast("double"), F.col(value).cast("double")
+    shares = [(i + 1) / MARKS for i in range(MARKS)]
     extent = rows.agg(
-        F.min(rid).alias("lo"),
-        F.greatest(F.max(rid) - F.min(rid), F.lit(1.0)).alias("width"),
+        F.percentile_approx(rid, shares, ACCURACY).alias("ids"),
+        F.percentile_approx(F.when(rid.isNull(), amount), shares, ACCURACY).alias("values"),
         F.ceil(F.count(F.lit(1)) / chunk_rows).alias("chunks"),
     )
-    lo, width, chunks = (extent.select(c).scalar() for c in ("lo", "width", "chunks"))
-    # Division and floor keep the order of row_id, so chunks are ranges; rows without an id come last.
-    chunk = F.coalesce(F.floor((rid - lo) / width * chunks), chunks + 1)
-    chunked = rows.withColumn("_chunk", chunk)
+
+    def kept(marks: str) -> Column:
+        """As many of the marks as there are chunks, evenly spread."""
+        passed = F.filter(marks, lambda m, i: F.floor((i + 1) * F.col("chunks") / MARKS) > F.floor(i * F.col("chunks") / MARKS))
+        return F.coalesce(passed, F.array().cast("array<double>"))
+
+    cuts = extent.select(kept("ids").alias("ids"), kept("values").alias("values"))
+    ids, values = F.col("_ids"), F.col("_values")
+    rows = rows.withColumn("_ids", cuts.select("ids").scalar()).withColumn("_values", cuts.select("values").scalar())
+    # Cuts keep the order of rows: ids first, then rows without one by value, then those without either.
+    late = F.size(ids) + 1 + _piece(amount, values)
+    chunk = F.when(rid.isNull(), F.when(amount.isNull(), F.size(ids) + F.size(values) + 2).otherwise(late)).otherwise(_piece(rid, ids))
+    chunked = rows.withColumn("_chunk", chunk).drop("_ids", "_values")
 
     place = [series, slot, "_chunk"]
     row_order = [F.col(row_id).asc_nulls_last(), F.col(value).asc_nulls_last()]
@@ -55,8 +78,5 @@ def with_previous(
     carried = placed.select(*place, *slot_order, F.lag("_tail").over(across).alias("_carried"))
 
     previous = F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_lag"))
-    return (
-        numbered.join(carried, place)
-        .withColumn(prev_name, previous)
-        .drop("_chunk", "_first", "_last", "_lag", "_carried")
-    )
+    found = numbered.join(carried, place).withColumn(prev_name, previous).drop("_first", "_last", "_lag", "_carried")
+    return found if keep_chunk else found.drop("_chunk")

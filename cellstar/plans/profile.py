@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellstar.functions import exact_mean, percent, round2
-from cellstar.operators.quantiles import exact_quantiles
+from cellstar.operators.quantiles import quantile_row
 from cellstar.operators.repeats import surplus_rows
 from cellstar.plans.book import mean, merged, reduce_facts
 
@@ -48,11 +48,7 @@ def top_counts(facts: DataFrame, indicators: DataFrame, dates: DataFrame, limit:
 
 def describe(rows: DataFrame, column: str = "value") -> DataFrame:
     """count, mean, std, min, quartiles, max of one column."""
-    quartiles = exact_quantiles(rows, column, [0.25, 0.5, 0.75])
-
-    def quartile(p: float):
-        return quartiles.where(F.col("probability") == p).agg(F.max("quantile")).scalar()
-
+    quartiles = quantile_row(rows, column, [0.25, 0.5, 0.75]).select("quantiles").scalar()
     v = F.col(column)
     return rows.agg(
         F.count(v).alias("count"),
@@ -65,9 +61,9 @@ def describe(rows: DataFrame, column: str = "value") -> DataFrame:
         "mean",
         "std",
         "min",
-        quartile(0.25).alias("p25"),
-        quartile(0.5).alias("p50"),
-        quartile(0.75).alias("p75"),
+        F.get(quartiles, F.lit(0)).alias("p25"),
+        F.get(quartiles, F.lit(1)).alias("p50"),
+        F.get(quartiles, F.lit(2)).alias("p75"),
         "max",
     )
 

@@ -52,6 +52,22 @@ def test_previous_value_without_spread_of_ids(spark):
     assert sorted((r.value, r.prev_value) for r in found.collect()) == [(1.0, None), (2.0, 1.0)]
 
 
+@pytest.mark.parametrize("ids", ["outlier", "missing"])
+def test_chunks_hold_their_share_of_rows(spark, ids):
+    """One id far off, or none at all: no chunk above twice the target, and the same result."""
+    n, target = 4000, 200
+    far = [(1, 1, 1, "a", i if i else 10**15, float(i % 997)) for i in range(n)]
+    none = [(1, 1, 1, "a", None, float(i)) for i in range(n)]
+    rows = spark.createDataFrame(far if ids == "outlier" else none, SCHEMA)
+    found = previous(rows, chunk_rows=target, keep_chunk=True)
+    largest = found.groupBy("_chunk").count().agg({"count": "max"}).first()[0]
+    assert largest <= 2 * target
+    ordered = sorted(rows.collect(), key=lambda r: (r.id is None, r.id or 0, r.value))
+    expected = [None, *(r.value for r in ordered[:-1])]
+    got = [(r.id is None, r.id or 0, r.value, r.prev_value) for r in found.collect()]
+    assert [g[3] for g in sorted(got, key=lambda g: g[:3])] == expected
+
+
 def interpolated(values, p):
     ordered = sorted(values)
     rank = p * (len(ordered) - 1)

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from cellstar.operators import checks
 from cellstar.sources import csv_sheets, files, workbook
 from tests.xlsx import write_workbook
 
@@ -25,6 +26,23 @@ def test_workbook_cells(spark, tmp_path):
     ]
 
 
+def test_dates_and_texts_without_value(spark, tmp_path):
+    """A date is no number, in any style that shows one; a text that means nothing is no cell."""
+    styles = [0, 14, "yyyy\\-mm", '0.0" days"', "[Red]#,##0", "[h]:mm"]
+    row = [(42552, 0), (42552, 1), (42552.5, 2), (42552, 3), (7, 4), (0.25, 5)]
+    write_workbook(tmp_path / "a.xlsx", {"s": [row, ["N/A", "nan", "x", " "]]}, styles=styles)
+    grid = workbook.read_workbooks(spark, str(tmp_path)).orderBy("row_idx").collect()
+    assert [r.error for r in grid] == [None, None]
+    assert grid[0].cells == ["42552", "2016-07-01 00:00:00", "2016-07-01 12:00:00", "42552", "7", "06:00:00"]
+    assert grid[1].cells == [None, None, "x", None]
+
+
+def test_raw_completeness_counts_omitted_rows(spark, tmp_path):
+    write_workbook(tmp_path / "a.xlsx", {"s": [["a", "b"], *[[] for _ in range(8)], ["c", "d"]]})
+    row = checks.raw_completeness(workbook.read_workbooks(spark, str(tmp_path))).first()
+    assert (row.row_count, row.column_count, row.metric_value, row.passed) == (10, 2, pytest.approx(0.2), False)
+
+
 def test_bad_files_and_sheets_do_not_stop_the_others(spark, tmp_path):
     write_workbook(tmp_path / "good.xlsx", {"s": [["x"]]})
     write_workbook(tmp_path / "half.xlsx", {"ok": [["y"]], "cut": [["z"]]}, broken=("cut",))

@@ -21,6 +21,8 @@ def cell(row, col, value, shared):
     at = f'r="{column(col)}{row + 1}"'
     if isinstance(value, bool):
         return f'<c {at} t="b"><v>{int(value)}</v></c>'
+    if isinstance(value, tuple):
+        return f'<c {at} s="{value[1]}"><v>{value[0]}</v></c>'
     if isinstance(value, (int, float)):
         return f"<c {at}><v>{value}</v></c>"
     if value.startswith("="):
@@ -32,8 +34,11 @@ def cell(row, col, value, shared):
     return f'<c {at} t="s"><v>{shared.index(value)}</v></c>'
 
 
-def write_workbook(path, sheets, broken=()):
-    """``sheets``: name -> rows of cells (None for no cell)."""
+def write_workbook(path, sheets, broken=(), styles=None):
+    """``sheets``: name -> rows of cells (None for no cell, a pair for a number and its style).
+
+    ``styles``: number formats, by id or by code.
+    """
     shared = []
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as book:
         entries, relations = [], []
@@ -54,3 +59,8 @@ def write_workbook(path, sheets, broken=()):
         book.writestr("xl/_rels/workbook.xml.rels", f'<Relationships xmlns="{PACKAGE}">{"".join(relations)}</Relationships>')
         items = "".join(f'<si><r><t xml:space="preserve">{escape(s)}</t></r></si>' for s in shared)
         book.writestr("xl/sharedStrings.xml", f'<sst xmlns="{MAIN}">{items}</sst>')
+        if styles:
+            codes = [f if isinstance(f, str) else None for f in styles]
+            own = "".join(f'<numFmt numFmtId="{164 + i}" formatCode="{escape(c, {chr(34): "&quot;"})}"/>' for i, c in enumerate(codes) if c)
+            used = "".join(f'<xf numFmtId="{164 + i if isinstance(f, str) else f}"/>' for i, f in enumerate(styles))
+            book.writestr("xl/styles.xml", f'<styleSheet xmlns="{MAIN}"><numFmts>{own}</numFmts><cellXfs>{used}</cellXfs></styleSheet>')

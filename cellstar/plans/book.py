@@ -249,6 +249,17 @@ def zscore_outliers(facts: DataFrame, sigmas: float = 3.0) -> DataFrame:
     )
 
 
+def named_outliers(facts: DataFrame, indicators: DataFrame, dates: DataFrame, sigmas: float = 3.0) -> DataFrame:
+    """Outliers with the name of their indicator and their period; only they are joined."""
+    found = zscore_outliers(facts.select("indicator_id", "date_id", "value"), sigmas)
+    named = found.join(indicators.select("indicator_id", "indicator_name"), "indicator_id").join(
+        dates.select("date_id", "period_label"), "date_id"
+    )
+    return named.select("indicator_name", "period_label", F.col("value").cast("double").alias("value"), "z_score").orderBy(
+        F.abs("z_score").desc(), *_asc("indicator_name", "period_label", "value")
+    )
+
+
 def _by_variation(facts: DataFrame, indicators: DataFrame, order, at_least: int, limit: int) -> DataFrame:
     return (
         _spread(facts, indicators)

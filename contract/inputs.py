@@ -56,11 +56,13 @@ class Inputs:
 
     @property
     def dates(self) -> DataFrame:
+        """The periods as a load leaves them: a table of its own, whose size Spark knows."""
         year = F.col("date_id")
-        return self.facts.select("date_id").distinct().select(
+        periods = self.facts.select("date_id").distinct().select(
             "date_id", year.alias("year"), _fiscal(year).alias("period_label"),
             F.make_date(year, F.lit(7), F.lit(1)).alias("date_value"),
         )
+        return written_once(f"dates-{hashlib.md5(self.folder.encode()).hexdigest()}", periods.coalesce(1))
 
     @property
     def indicators_with_planned(self) -> DataFrame:

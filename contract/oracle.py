@@ -348,6 +348,9 @@ ORACLE: dict[str, str] = {
         FROM signed"""),
     "duplicate_records": """
         SELECT l_orderkey, l_linenumber, COUNT(*) AS duplicate_count FROM lineitem GROUP BY 1, 2 HAVING COUNT(*) > 1""",
+    "duplicate_facts": sql("facts", f"""
+        SELECT indicator_id, date_id, {num('value')} AS value, COUNT(*) AS duplicate_count FROM facts
+        GROUP BY indicator_id, date_id, facts.value HAVING COUNT(*) > 1"""),
     "orphan_facts": sql("facts in_credit dates", """
         SELECT 'Orphaned facts (no indicator)' AS issue, COUNT(*) AS count FROM facts f
         LEFT JOIN in_credit i ON f.indicator_id = i.indicator_id WHERE i.indicator_id IS NULL
@@ -384,6 +387,11 @@ FROM prior"""),
         WITH stats AS (SELECT AVG(value) AS m, stddev_samp(value) AS s FROM events WHERE value > 0)
         SELECT event_id, event_type AS indicator, ts, value, {r2('(value - m) / s')} AS z_score
         FROM events CROSS JOIN stats WHERE value > 0 AND abs(value - m) / s > 3""",
+    "named_outliers": sql("facts indicators dates", f"""
+        SELECT indicator_name, period_label, {num('value')} AS value, {r2(f"({num('value')} - m) / s")} AS z_score
+        FROM facts JOIN indicators USING (indicator_id) JOIN dates USING (date_id)
+        CROSS JOIN (SELECT AVG({num('value')}) AS m, stddev_samp({num('value')}) AS s FROM facts WHERE value > 0)
+        WHERE value > 0 AND abs({num('value')} - m) / s > 2"""),
     "lowest_cv": sql("facts indicators", f"""
         SELECT indicator_name, n AS measurements, {r2('m')} AS avg_value, {r2('s')} AS std_dev,
                {r2('s / NULLIF(m, 0) * 100')} AS cv_percent
@@ -587,13 +595,13 @@ UNION ALL SELECT 'year_range', h, CAST(h AS INT), TRUE FROM p"""),
               FROM period_texts)"""),
     "dq_raw_completeness": sql("cells data_rows owners headers", """
         WITH width AS (SELECT COUNT(*) AS w FROM headers),
-        -- rows and filled cells: data rows (value cells, name, balance), spacers, header, title
-        parts AS (SELECT source_file, sheet, COUNT(*) AS n, 2 * COUNT(*) AS k FROM data_rows GROUP BY 1, 2
+        -- last row and filled cells: data rows (value cells, name, balance), spacers, header, title
+        parts AS (SELECT source_file, sheet, max(row_idx) AS n, 2 * COUNT(*) AS k FROM data_rows GROUP BY 1, 2
                   UNION ALL SELECT source_file, sheet, 0, COUNT(text) FROM cells GROUP BY 1, 2
-                  UNION ALL SELECT source_file, sheet, COUNT(*), 0 FROM owners GROUP BY 1, 2
+                  UNION ALL SELECT source_file, sheet, max(indicator_id * 8 + 2), 0 FROM owners GROUP BY 1, 2
                   UNION ALL SELECT DISTINCT source_file, sheet, 1, w FROM owners, width
-                  UNION ALL SELECT DISTINCT source_file, sheet, 1, 1 FROM owners),
-        sheets AS (SELECT source_file, sheet, SUM(n) AS rows, max(w) AS columns, SUM(k) AS filled
+                  UNION ALL SELECT DISTINCT source_file, sheet, 0, 1 FROM owners),
+        sheets AS (SELECT source_file, sheet, max(n) + 1 AS rows, max(w) AS columns, SUM(k) AS filled
                    FROM parts, width GROUP BY 1, 2
                    UNION ALL SELECT r_name || '.xlsx', 'About', 1, 2, 2 FROM region)
 SELECT source_file, sheet, 'raw_completeness' AS check_name, 1 - CAST(filled AS DOUBLE) / (rows * columns) < 0.5 AS passed,

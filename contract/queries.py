@@ -239,6 +239,7 @@ _ON_INPUTS: dict[str, Callable[[Inputs], DataFrame]] = {
     "period_listing": lambda i: book.period_listing(i.dates),
     "completeness_profile": lambda i: book.completeness_profile(i.signed),
     "duplicate_records": lambda i: book.duplicate_records(i.facts, ["l_orderkey", "l_linenumber"]),
+    "duplicate_facts": lambda i: book.duplicate_records(i.facts).withColumn("value", F.col("value").cast("double")),
     "orphan_facts": lambda i: book.orphan_facts(i.facts, i.indicators_in_credit, i.dates),
     "top_indicators": lambda i: book.top_indicators(i.facts, i.indicators),
     "highest_average": lambda i: book.highest_average(i.facts, i.indicators),
@@ -246,6 +247,7 @@ _ON_INPUTS: dict[str, Callable[[Inputs], DataFrame]] = {
     "yoy_growth": lambda i: book.yoy_growth(i.facts, i.indicators, i.dates),
     "value_distribution": lambda i: book.value_distribution(i.facts),
     "zscore_outliers": lambda i: book.zscore_outliers(i.measures),
+    "named_outliers": lambda i: book.named_outliers(i.facts, i.indicators, i.dates, sigmas=2.0),
     "lowest_cv": lambda i: book.lowest_cv(i.facts, i.indicators),
     "highest_cv": lambda i: book.highest_cv(i.facts, i.indicators),
     "quarter_pattern": lambda i: book.quarter_pattern(i.facts, i.dates),

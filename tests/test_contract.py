@@ -12,7 +12,7 @@ from contract.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 # Windows over one row per bucket, of a fixed list or of 4096 hash buckets.
-SMALL_WINDOWS = {"value_distribution", "dim_indicator_build", "dim_indicator_upsert", "dim_date_build"}
+SMALL_WINDOWS = {"value_distribution", "dim_indicator_build", "dim_indicator_upsert", "dim_date_build", "eda_describe"}
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +21,7 @@ def con():
 
 
 def test_entry_points():
-    assert set(QUERIES) == set(ORACLE) and len(QUERIES) == 102
+    assert set(QUERIES) == set(ORACLE) and len(QUERIES) == 104
     assert QUERIES.items() <= contract.queries().items() and ORACLE.items() <= contract.oracle_sql().items()
     assert set(contract.oracle_sql()) <= set(contract.queries())
 

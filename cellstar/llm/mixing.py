@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from cellstar.llm.shared import WORD
 
 BLOCKS = 4096
+#: Words that a shard should hold; there are as many shards as that takes, up to one per block.
+SHARD_WORDS = 2_000_000
 WEIGHTS = (5, 2, 1)
 
 
@@ -96,7 +98,7 @@ def _key(doc_id: Column) -> Column:
 
 
 def mix(
-    docs: DataFrame, shards: int = 16, seed: int = 7, cut: bool = True, weights: Sequence[int] = WEIGHTS,
+    docs: DataFrame, shards: int | None = None, seed: int = 7, cut: bool = True, weights: Sequence[int] = WEIGHTS,
     share: float = 1.5, most: float = 2.0, id_column: str = "doc_id", text_column: str = "text",
     source_column: str = "source", name: str = "mixed",
 ) -> DataFrame:
@@ -108,6 +110,7 @@ def mix(
     nothing to give. Repeated rows are documents of their own; those equal in id, words and text may
     stand for each other. Null is a source like any other. A column ``name`` is replaced.
 
+    Without ``shards`` their number grows with the targets, at SHARD_WORDS words each, up to BLOCKS.
     The recipe (a row per source) passes through the driver; documents and blocks do not.
     """
     text, doc_id, source = (F.col(f"`{c}`") for c in (text_column, id_column, source_column))
@@ -156,7 +159,7 @@ _RECIPE = (
 )
 
 
-def _recipe(blocks: DataFrame, shards: int, seed: int, weights: Sequence[int], share: float, most: float) -> pa.Table:
+def _recipe(blocks: DataFrame, shards: int | None, seed: int, weights: Sequence[int], share: float, most: float) -> pa.Table:
     """A row per source: passes, where the last one ends, and which stretch of its blocks each shard draws."""
     sizes = blocks.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sizes, weights, share, most)
@@ -175,6 +178,9 @@ def _recipe(blocks: DataFrame, shards: int, seed: int, weights: Sequence[int], s
     table = rows.toArrow().sort_by("source")  # a row per source
     passes, ends = (np.array(table[c].to_pylist(), np.int64) for c in ("passes", "end"))
     quotas = passes * BLOCKS + ends + 1
+    if shards is None:
+        total = sum(float(t) for t in table["target"].to_pylist())
+        shards = min(BLOCKS, max(1, int(np.ceil(total / SHARD_WORDS))))
     pick = np.random.default_rng(seed + 1)
     turns = [[int(x) for x in pick.integers(0, BLOCKS, int(p) + 1)] + [0] * (int(np.ceil(most)) - int(p)) for p in passes]
     starts = [[t * BLOCKS for t in range(int(np.ceil(most)) + 1)]] * len(table)

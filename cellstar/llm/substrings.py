@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellstar.llm.shared import slices
+from cellstar.llm.shared import slices, staged
 
 LEAST_WORDS = 30
 _END = re.compile(r"[.!?]+\s+|\n\s*")
@@ -79,8 +79,9 @@ def repeated_spans(docs: DataFrame, least: int, id_column: str, text_column: str
     rows = docs.select(doc_id.alias("id"), _row(doc_id, text).alias("row"), text.alias("text"))
     place = F.struct(F.col("id").isNull().alias("last"), "id", "row", "i")
     # Each digest is reduced in the tasks before it is shuffled; what is joined back is a row per repeated digest.
-    firsts = _spans(rows, least).groupBy("hi", "lo").agg(F.min(place).alias("first"), F.max(place).alias("other"))
-    firsts = firsts.where("first <> other").select("hi", "lo", "first")
+    # Written first: its join then has two shuffles of its own, and Spark can split a hot digest.
+    firsts = _spans(rows, least).groupBy("hi", "lo").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+    firsts = staged(firsts.where("n > 1").select("hi", "lo", "first"))
     return _spans(rows, least).join(firsts, ["hi", "lo"]).where(place != F.col("first")).select("id", "row", "i", "j")
 
 

@@ -37,7 +37,8 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
 
     Alternating large-star and small-star steps: each node hands its neighbours on to the
     smallest node it knows, so the rows never outnumber the links, and a hub is one row per
-    task before it is joined. Stops when a round changes nothing.
+    task before it is joined. What is joined is written first, so that Spark can split a hub's
+    links. Stops when a round changes nothing.
     """
     pair = links.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo"))
     now = staged(pair.where("hi <> lo").distinct())
@@ -50,9 +51,9 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
         both = now.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionAll(
             now.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
         )
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
-        low = large.groupBy("hi").agg(F.min("lo").alias("m"))
+        low = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        large = staged(both.join(low, "u").where("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo")))
+        low = staged(large.groupBy("hi").agg(F.min("lo").alias("m")))
         ends = F.array(F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo")), F.struct("hi", F.col("m").alias("lo")))
         small = large.join(low, "hi").select(F.inline(ends)).where("hi <> lo")
         now = staged(small.distinct())

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellstar.llm.shared import connected_components, staged
-from cellstar.llm.vectors import matrix, numbered, usable
+from cellstar.llm.vectors import matrix, narrow, numbered, usable
 
 #: Nodes of a tile, and rows of it that are multiplied at once.
 TILE, STRIP = 4096, 1024
@@ -158,7 +158,7 @@ def near_duplicates(
     link to each other. Null ids are passed over for the component; a component of nulls has null, and
     kept is false.
     """
-    vector = F.col(f"`{vector_column}`").cast("array<double>")
+    vector = narrow(table, vector_column)
     rows = staged(numbered(table.select(F.col(f"`{id_column}`").alias("id"), vector.alias("vector"))).withColumnRenamed("node", "row"))
     good = usable(F.col("vector")) & F.exists("vector", lambda x: x != 0)
     nodes = staged(rows.where(good).groupBy("vector").agg(F.count("*").alias("copies"), F.min("row").alias("node"), F.min("id").alias("least")))

@@ -6,6 +6,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def narrow(table: DataFrame, column: str) -> Column:
+    """The vector column in floats if it has floats, else in doubles: what is shuffled stays as small as it came."""
+    kind = table.select(F.col(f"`{column}`").alias("v")).schema["v"].dataType
+    floats = isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType)
+    return F.col(f"`{column}`").cast("array<float>" if floats else "array<double>")
 
 
 def usable(vector: Column) -> Column:

@@ -13,11 +13,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellstar.llm.shared import staged
-from cellstar.llm.vectors import matrix, numbered, usable
+from cellstar.llm.vectors import matrix, narrow, numbered, usable
 
 #: Candidates of a bucket, and queries of a block.
 BUCKET, BLOCK = 4096, 1024
@@ -87,7 +87,15 @@ def best_of_bucket(
     return out
 
 
-def _search(pairs: DataFrame, k: int) -> DataFrame:
+def whole(table: pa.Table, scale: int) -> np.ndarray:
+    """floor(scale * x) of the vectors, in longs."""
+    floors = np.floor(scale * matrix(table, "x", np.float64))
+    if np.abs(floors).max(initial=0) >= 2.0**62:
+        raise ValueError("components too large for a long score")
+    return floors.astype(np.int64)
+
+
+def _search(pairs: DataFrame, k: int, scale: int) -> DataFrame:
     """(query, query_id, score, id, node): per query and bucket at most k. ``pairs`` has both kinds of rows by key."""
     def run(table: pa.Table) -> pa.Table:
         ask = table.column("least").is_valid().to_numpy()
@@ -97,8 +105,8 @@ def _search(pairs: DataFrame, k: int) -> DataFrame:
         else:
             null_last = table_v.column("id").fill_null(2**63 - 1).to_numpy()
             found = best_of_bucket(
-                matrix(table_q, "v", np.int64), table_q.column("node").to_numpy(), table_q.column("least").to_numpy(),
-                matrix(table_v, "v", np.int64), table_v.column("node").to_numpy(), null_last, k,
+                whole(table_q, scale), table_q.column("node").to_numpy(), table_q.column("least").to_numpy(),
+                whole(table_v, scale), table_v.column("node").to_numpy(), null_last, k,
             )
         q = pa.array([f[0] for f in found], pa.int64())
         v = pa.array([f[1] for f in found], pa.int64())
@@ -125,12 +133,16 @@ def top_k(
     or hold a null or non-finite component take no part; vectors of different lengths do not meet.
     Repeated rows are candidates (and queries) of their own.
     """
-    doubles = F.col(f"`{vector_column}`").cast("array<double>")
-    rows = table.select(F.col(f"`{id_column}`").cast("long").alias("id"), doubles.alias("x")).where(usable(F.col("x")))
-    whole = rows.select("id", F.transform("x", lambda x: F.floor(x * scale)).alias("v"))
-    square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x)
+    vector = narrow(table, vector_column)
+    rows = table.select(F.col(f"`{id_column}`").cast("long").alias("id"), vector.alias("x")).where(usable(F.col("x")))
+
+    def add_square(total: Column, x: Column) -> Column:
+        floor = F.floor(x.cast("double") * scale).cast("double")
+        return total + floor * floor
+
+    square = F.aggregate("x", F.lit(0.0), add_square)
     step = F.when(square > 0, F.floor(F.log2(square) / 2 * STEPS)).otherwise(F.lit(-1)).cast("long")
-    named = staged(numbered(whole.select("id", "v", F.size("v").alias("dim"), F.sqrt(square).alias("length"), step.alias("step"))))
+    named = staged(numbered(rows.select("id", "x", F.size("x").alias("dim"), F.sqrt(square).alias("length"), step.alias("step"))))
     sizes = named.groupBy("dim", "step").agg(F.ceil(F.count("*") / BUCKET).alias("parts"))
     part = F.pmod(F.xxhash64("node"), F.col("parts"))
     filed = staged(named.join(sizes, ["dim", "step"]).withColumn("bucket", F.concat_ws(":", "dim", "step", part)).drop("parts"))
@@ -147,17 +159,17 @@ def top_k(
     def visits(queries: DataFrame) -> DataFrame:
         """Rows of queries and of the buckets they visit, by bucket and block."""
         met = queries.select("bucket", "block").distinct()
-        columns = ["bucket", "block", "id", "node", "v"]
-        held = filed.select("bucket", "id", "node", "v").join(met, "bucket").select(*columns, F.lit(None).cast("long").alias("least"))
+        columns = ["bucket", "block", "id", "node", "x"]
+        held = filed.select("bucket", "id", "node", "x").join(met, "bucket").select(*columns, F.lit(None).cast("long").alias("least"))
         return queries.select(*columns, "least").unionAll(held)
 
     seeds = asking.drop("bucket").join(first, "dim").withColumnRenamed("seed", "bucket").withColumn("least", F.lit(_NONE).cast("long"))
-    early = staged(_search(visits(seeds), k))
+    early = staged(_search(visits(seeds), k, scale))
     # What a query already has k of, it must reach elsewhere too.
     reached = _best(early, k).groupBy("query").agg(F.count("*").alias("c"), F.min("score").alias("s"))
     reached = reached.select(F.col("query").alias("node"), F.when(F.col("c") >= k, F.col("s")).alias("s"))
     open_ = asking.drop("bucket").join(reached, "node", "left").withColumn("least", F.coalesce("s", F.lit(_NONE).cast("long"))).drop("s")
     others = buckets.join(first, "dim").where("bucket <> seed").select("dim", "bucket", "longest")
     can = (F.col("least") <= 0) | (F.col("length") * F.col("longest") * (1 + 1e-9) >= F.col("least"))
-    late = _search(visits(staged(open_.join(others, "dim").where(can))), k)
+    late = _search(visits(staged(open_.join(others, "dim").where(can))), k, scale)
     return _best(early.unionAll(late), k).select("query_id", "rank", "id", "score")

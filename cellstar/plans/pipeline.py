@@ -55,13 +55,16 @@ def ingest(store: Store, content: DataFrame, load_id: str, force: bool = False)
     When nothing at all could be read, the run fails.
     """
     with Run(store, PIPELINE, "ingestion", metadata={"load_id": load_id}) as run:
-        hashed = content.withColumnRenamed("path", "file_path")
+        # One read hashes every file; what is decided on and registered is this narrow table.
+        seen = store.staged(
+            f"{load_id}-seen",
+            content.select(F.col("path").alias("file_path"), "file_hash", F.col("length").alias("file_size_bytes")),
+        )
         # What counts as done is a committed load, so a run that died is taken up again.
         done = store.live_loads().select(F.col("source_file").alias("file_path"), "file_hash")
-        todo = files.to_process(hashed, done, force).withColumnRenamed("file_path", "path")
-        read = store.staged(f"{load_id}-read", workbook.decode_files(todo))
-        now = hashed.select("file_path", "file_hash", F.col("length").alias("file_size_bytes"))
-        return _take_in(store, run, load_id, read, now)
+        todo = files.to_process(seen, done, force)
+        read = store.staged(f"{load_id}-read", workbook.decode_files(files.contents(todo)))
+        return _take_in(store, run, load_id, read, seen)
 
 
 def ingest_csv(store: Store, folder: str, load_id: str, pattern: str = "*.csv", force: bool = False) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,8 @@ MISSING_HASH = "file_not_found"
 
 # Both workbook formats are found; one that cannot be decoded is reported, not passed over.
 WORKBOOKS = "*.xls*"
+# Signs of a path that would be read as a pattern.
+_PATTERN_SIGNS = re.compile(r"[\\\[\]{}*?]")
 
 
 def discover(spark: SparkSession, folder: str, pattern: str = WORKBOOKS) -> DataFrame:
@@ -46,6 +50,18 @@ def content_hashes(files: DataFrame, content: str) -> DataFrame:
     return files.withColumn("file_hash", F.md5(F.col(content)))
 
 
+def contents(chosen: DataFrame) -> DataFrame:
+    """``path, content`` of the files in ``file_path``, and no others are read.
+
+    The driver gets the paths, as it does when Spark lists a folder; contents are never joined.
+    """
+    paths = [r.file_path for r in chosen.select("file_path").collect()]
+    if not paths:
+        return chosen.select(F.col("file_path").alias("path"), F.lit(b"").alias("content"))
+    plain = [_PATTERN_SIGNS.sub(r"\\\g<0>", p) for p in paths]
+    return chosen.sparkSession.read.format("binaryFile").load(plain).select("path", "content")
+
+
 def detect_changes(now: DataFrame, registry: DataFrame) -> DataFrame:
     """State of every file seen now or registered: new, changed, unchanged or missing."""
     old = registry.select("file_path", F.col("file_hash").alias("old_hash"), "processing_count")

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from cellstar.plans import monitoring, pipeline, quality, runs
 from cellstar.plans.runs import Run
+from cellstar.sources import files
 from cellstar.sources.store import Store
 from cellstar.streaming.incremental import ingest_available
 from tests.xlsx import write_workbook
@@ -42,6 +43,24 @@ def state(store):
     return monitoring.run_latest_state(store.read("run_events"))
 
 
+def test_only_chosen_files_are_read_whatever_their_names(spark, tmp_path):
+    source = tmp_path / "odd"
+    source.mkdir()
+    names = ["a[1].xlsx", "b {x,y}.xlsx", "c%20d.xlsx", "e.xlsx"]
+    for name in names:
+        write_workbook(source / name, {"north": sheet(["Beds", 1, 2])})
+    store = Store(spark, str(tmp_path / "out"))
+    assert pipeline.run(store, str(source)) is not None
+    assert {f[0] for f in facts(store)} == set(names)
+
+    seen = pipeline.read_files(spark, str(source)).withColumnRenamed("path", "file_path")
+    some = files.contents(seen.where("file_path not like '%e.xlsx'"))
+    assert sorted(r.path.rsplit("/")[-1] for r in some.collect()) == names[:3]
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    assert files.contents(seen.limit(0)).collect() == []
+
+
 def test_load_twice_is_load_once_and_changes_replace(spark, tmp_path, folder):
     store = Store(spark, str(tmp_path / "out"))
     assert pipeline.run(store, str(folder)) is not None

@@ -5,10 +5,12 @@ among the structural elements, and whole text blocks) that occur equally often i
 equivalence class. A class is valid if its tokens keep one order in every page, and if each of its
 occurrences lies in one slot of the class around it. The class of tokens that occur once in every page is
 the template's frame, valid classes inside its slots are nested in it, and what remains between the
-frame's tokens are its slots. Slots whose enclosing elements are menus, notices and the like are left
-out, and so is text of the frame itself. Of the rest, an article (or main) element is the text; on a
+frame's tokens are its slots. Text of the frame is left out on all pages, within an article too, unless
+it is most of what the articles hold: then they are copies. Slots whose enclosing elements are menus,
+notices and the like are left out. Of the rest, an article (or main) element is the text; on a
 page without one it is what fills the slots of the innermost template element that holds nearly all
-words outside links. A page without company has only its own elements.
+words outside links. A name that an article's own section may have (legal, related) counts only where
+little prose is under it. A page without company has only its own elements.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ from cellstar.llm.shared import staged
 GROUP, SUPPORT = 48, 3
 #: Share of the words outside links that an element must hold to be narrowed down to.
 NEARLY_ALL = 0.7
+#: Words outside links from which a doubtful element of an article is prose.
+PROSE = 20
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span "
     "strike strong sub sup time tt u var wbr".split()
@@ -51,6 +55,12 @@ _ROLE = re.compile(
     r"sponsored|subscribe|subscription|tags|toolbar|widgets?|alert|alertdialog|complementary|contentinfo)(?:$|[\s_-])",
     re.IGNORECASE,
 )
+#: Parts of the names above that an article's own sections may have.
+_DOUBTFUL = re.compile(
+    r"(?:^|(?<=[\s_-]))(?:alert|banner|legal|notices?|notification|promo|promoted|related|search|share|sharing|social|sponsor|sponsored|"
+    r"subscription|tags|toolbar|widgets?|complementary)(?=$|[\s_-])",
+    re.IGNORECASE,
+)
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<raw>script|style|noscript|svg|math|template|textarea)\b[^>]*(?<!/)>.*?(?:</(?P=raw)\s*>|\Z)"
@@ -72,27 +82,33 @@ class Block:
     path: tuple[str, ...]
     unwanted: bool
     article: bool
-    at: int  # tokens of the page before it
+    doubt: int  # the doubtful element of an article around it, 0 for none
 
 
-def _unwanted(name: str, attrs: str, inside: list[str]) -> bool:
+def _unwanted(name: str, attrs: str, inside: list[str]) -> tuple[bool, bool]:
+    """(whether an element is left out, whether only if it holds no prose)."""
     if name in BOILERPLATE or name == "header" and "article" not in inside and "main" not in inside:
-        return True
+        return True, False
     if not attrs or name in ("html", "body", "article", "main"):
-        return False
+        return False, False
+    doubt = False
     for key, *values in _ATTRIBUTE.findall(attrs):
         value = next(filter(None, values), "")
-        if key.lower() == "hidden" or key.lower() == "aria-hidden" and value.lower() == "true" or _ROLE.search(value):
-            return True
-    return False
+        if key.lower() == "hidden" or key.lower() == "aria-hidden" and value.lower() == "true":
+            return True, False
+        if _ROLE.search(value):
+            if not ("article" in inside or "main" in inside) or _ROLE.search(_DOUBTFUL.sub("", value)):
+                return True, False
+            doubt = True
+    return False, doubt
 
 
 def parse(page: str) -> tuple[list[tuple], list[Block]]:
     """(tokens, blocks) of a page. A token is a block-level tag or a block's text, with its structural path."""
     tokens: list[tuple] = []
     blocks: list[Block] = []
-    # Open structural elements: name, label, whether it or one around it is left out, whether within an article.
-    stack: list[tuple[str, str, bool, bool]] = []
+    # Open structural elements: name, label, whether it or one around it is left out, whether within an article, doubtful element.
+    stack: list[tuple[str, str, bool, bool, int]] = []
     words: list[str] = []
     links, in_link = 0, 0
 
@@ -102,8 +118,8 @@ def parse(page: str) -> tuple[list[tuple], list[Block]]:
         words.clear()
         if text:
             path = tuple(s[1] for s in stack)
-            unwanted, article = (stack[-1][2], stack[-1][3]) if stack else (False, False)
-            blocks.append(Block(text, links, path, unwanted, article, len(tokens)))
+            unwanted, article, doubt = stack[-1][2:] if stack else (False, False, 0)
+            blocks.append(Block(text, links, path, unwanted, article, doubt))
             tokens.append((path, text))
         links = 0
 
@@ -134,9 +150,11 @@ def parse(page: str) -> tuple[list[tuple], list[Block]]:
             if not closing and not attrs.endswith("/"):
                 values = " ".join(sorted("".join(a[1:]) for a in _ATTRIBUTE.findall(attrs)))
                 label = f"{name} {re.sub(r'[0-9]+', '9', values)}".rstrip()
-                left_out = bool(stack and stack[-1][2]) or _unwanted(name, attrs, names)
+                left_out, doubtful = _unwanted(name, attrs, names)
+                left_out = bool(stack and stack[-1][2]) or left_out
+                doubt = stack and stack[-1][4] or doubtful and len(tokens) + 1 or 0
                 article = bool(stack and stack[-1][3]) or name in ("article", "main") or 'role="main"' in attrs
-                stack.append((name, label, left_out, article))
+                stack.append((name, label, left_out, article, doubt))
             tokens.append((tuple(s[1] for s in stack), ("/" if closing else "") + name))
         elif name not in VOID:
             tokens.append((tuple(s[1] for s in stack), ("/" if closing else "") + name))
@@ -216,21 +234,38 @@ def region(mass: Counter, direct: Counter) -> tuple[str, ...]:
     return at
 
 
+def _prose(blocks: list[Block]) -> list[Block]:
+    """Blocks not left out, those of a doubtful element only if it holds prose."""
+    words: Counter = Counter()
+    links: Counter = Counter()
+    for b in blocks:
+        words[b.doubt] += len(b.text.split())
+        links[b.doubt] += b.link_words
+    good = {d for d in words if not d or words[d] - links[d] >= PROSE and 2 * links[d] <= words[d]}
+    return [b for b in blocks if not b.unwanted and b.doubt in good]
+
+
 def extract(pages: list[str]) -> list[str]:
     """Main text of pages of one host, blocks joined by an empty line."""
     parsed = [parse(p) for p in pages]
     distinct = list({tuple(t): t for t, _ in parsed}.values())
     frame, nested = deduce(distinct) if len(distinct) >= SUPPORT else ([], set())
-    # Text in the frame is the same on every page; in an article it may be a copied article's own.
     fixed = set(frame)
     tags = {t for t in nested if t[1].removeprefix("/") in STRUCTURE} | fixed
+    wanted = [_prose(blocks) for _, blocks in parsed]
+    # Articles that are mostly text of the template are copies of each other, and theirs stays.
+    own, shared = (
+        sum(len(b.text.split()) for blocks in wanted for b in blocks if b.article and ((b.path, b.text) in fixed) == of_frame)
+        for of_frame in (False, True)
+    )
+    copies = shared >= own
     mass: Counter = Counter()
     direct: Counter = Counter()
     kept = []
-    for _, blocks in parsed:
-        own = [b for b in blocks if not b.unwanted and (b.article or (b.path, b.text) not in fixed)]
-        kept.append(own)
-        for b in own:
+    for blocks in wanted:
+        own_blocks = [b for b in blocks if (b.path, b.text) not in fixed or b.article and copies]
+        kept.append(own_blocks)
+        for b in own_blocks:
             words = len(b.text.split()) - b.link_words
             # A slot is known by the template's elements around it; others are part of what is in the slot.
             path = tuple(takewhile(lambda p: not tags or p[1] in tags, _elements(b.path)))

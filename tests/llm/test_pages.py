@@ -70,3 +70,22 @@ def test_classes_must_keep_their_order():
 
 def test_empty_table(spark):
     assert pages.main_text(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_the_template_decides_on_pages_with_an_article(monkeypatch):
+    bodies = [f"<article><h2>Title {i}</h2><p>Words of the article numbered {i}.</p><p>Read our letter.</p></article>" for i in range(9)]
+    want = [f"Title {i}\n\nWords of the article numbered {i}." for i in range(9)]
+    assert pages.extract([soup(i, b) for i, b in enumerate(bodies)]) == want
+    monkeypatch.setattr(pages, "deduce", lambda tokens: ([], set()))
+    assert pages.extract([soup(i, b) for i, b in enumerate(bodies)]) == [f"{w}\n\nRead our letter." for w in want]
+
+
+def test_copied_articles_stay():
+    page = "<html><body><p>Site {}</p><article><p>One article that is on all of them.</p><p>It has two parts.</p></article></body></html>"
+    assert pages.extract([page.format(i) for i in range(5)]) == ["One article that is on all of them.\n\nIt has two parts."] * 5
+
+
+def test_a_section_of_prose_stays_whatever_its_name():
+    prose = "Courts have long held that " + "such words belong to the article " * 4
+    page = f"<article><p>One</p><section class='legal'><p>{prose}</p></section><div class='widget tags'>a b</div><div class='related'><a href='/'>{prose}</a></div></article>"
+    assert pages.extract([page]) == [f"One\n\n{prose.strip()}"]

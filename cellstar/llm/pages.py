@@ -5,12 +5,14 @@ among the structural elements, and whole text blocks) that occur equally often i
 equivalence class. A class is valid if its tokens keep one order in every page, and if each of its
 occurrences lies in one slot of the class around it. The class of tokens that occur once in every page is
 the template's frame, valid classes inside its slots are nested in it, and what remains between the
-frame's tokens are its slots. Text of the frame is left out on all pages, within an article too, unless
-it is most of what the articles hold: then they are copies. Slots whose enclosing elements are menus,
-notices and the like are left out. Of the rest, an article (or main) element is the text; on a
-page without one it is what fills the slots of the innermost template element that holds nearly all
-words outside links. A name that an article's own section may have (legal, related) counts only where
-little prose is under it. A page without company has only its own elements.
+frame's tokens are its slots. Text of the frame, and text that comes with each occurrence of a nested
+element, is left out on all pages, within an article too, unless it is most of what the articles (or
+the element) hold: then they are copies. Slots whose enclosing elements are menus,
+notices and the like are left out. An article (or main) element is evidence for the main slot: it is the
+text unless far more words stand in other slots. Elsewhere all slots of the page are, but for lists of
+links and, outside the template's largest slot, text that is on all pages but for one number in it.
+A name that an article's own section may have (legal, related) counts only where little prose is
+under it. A page without company has only its own elements.
 """
 
 from __future__ import annotations
@@ -30,8 +32,8 @@ from cellstar.llm.shared import staged
 
 #: Pages of a host that are compared with each other, and how many must share a class.
 GROUP, SUPPORT = 48, 3
-#: Share of the words outside links that an element must hold to be narrowed down to.
-NEARLY_ALL = 0.7
+#: How many times the words of an article count against those of other slots.
+EVIDENCE = 4
 #: Words outside links from which a doubtful element of an article is prose.
 PROSE = 20
 INLINE = frozenset(
@@ -221,17 +223,18 @@ def _common_order(members: set, tokens: list[list[tuple]]) -> list:
     return order
 
 
-def region(mass: Counter, direct: Counter) -> tuple[str, ...]:
-    """Innermost element that still holds most words outside links: down while one child has nearly all of
-    them and nothing stands beside it."""
-    at: tuple[str, ...] = ()
-    while not direct[at]:
-        inner = [p for p in mass if len(p) == len(at) + 1 and p[: len(at)] == at]
-        best = max(inner, key=lambda p: (mass[p], p), default=None)
-        if best is None or mass[best] < NEARLY_ALL * max(mass[at], 1):
-            break
-        at = best
-    return at
+def clusters(parsed: list[tuple[list[tuple], list[Block]]]) -> list[list[int]]:
+    """Pages by template: those that share at least half of their structural elements outside articles with the first."""
+    out: list[tuple[set, list[int]]] = []
+    for page, (tokens, _) in enumerate(parsed):
+        own = {path for path, t in tokens if t in STRUCTURE and not any(p.split(" ")[0] in ("article", "main") for p in path[:-1])}
+        for elements, members in out:
+            if 2 * len(own & elements) >= len(own | elements):
+                members.append(page)
+                break
+        else:
+            out.append((own, [page]))
+    return [members for _, members in out]
 
 
 def _prose(blocks: list[Block]) -> list[Block]:
@@ -248,11 +251,21 @@ def _prose(blocks: list[Block]) -> list[Block]:
 def extract(pages: list[str]) -> list[str]:
     """Main text of pages of one host, blocks joined by an empty line."""
     parsed = [parse(p) for p in pages]
+    out = [""] * len(pages)
+    for members in clusters(parsed):
+        for page, text in zip(members, _texts([parsed[m] for m in members]), strict=True):
+            out[page] = text
+    return out
+
+
+def _texts(parsed: list[tuple[list[tuple], list[Block]]]) -> list[str]:
+    """Main text of pages of one template."""
     distinct = list({tuple(t): t for t, _ in parsed}.values())
     frame, nested = deduce(distinct) if len(distinct) >= SUPPORT else ([], set())
     fixed = set(frame)
     tags = {t for t in nested if t[1].removeprefix("/") in STRUCTURE} | fixed
     wanted = [_prose(blocks) for _, blocks in parsed]
+    fixed |= _nested_text(wanted, nested, distinct)
     # Articles that are mostly text of the template are copies of each other, and theirs stays.
     own, shared = (
         sum(len(b.text.split()) for blocks in wanted for b in blocks if b.article and ((b.path, b.text) in fixed) == of_frame)
@@ -260,29 +273,57 @@ def extract(pages: list[str]) -> list[str]:
     )
     copies = shared >= own
     mass: Counter = Counter()
-    direct: Counter = Counter()
+    pages_with: dict[tuple, set] = defaultdict(set)
     kept = []
-    for blocks in wanted:
-        own_blocks = [b for b in blocks if (b.path, b.text) not in fixed or b.article and copies]
-        kept.append(own_blocks)
-        for b in own_blocks:
-            words = len(b.text.split()) - b.link_words
+    for page, blocks in enumerate(wanted):
+        slots = []
+        for b in blocks:
+            if (b.path, b.text) in fixed and not (b.article and copies):
+                continue
             # A slot is known by the template's elements around it; others are part of what is in the slot.
             path = tuple(takewhile(lambda p: not tags or p[1] in tags, _elements(b.path)))
-            path = path[-1][0] if path else ()
-            direct[path] += words
-            for k in range(len(path) + 1):
-                mass[path[:k]] += words
-    best = region(mass, direct)
+            slot = path[-1][0] if path else ()
+            mass[slot] += len(b.text.split()) - b.link_words
+            pages_with[slot, _numbered(b.text)].add(page)
+            slots.append((slot, b))
+        kept.append(slots)
+    main = max(mass, key=lambda s: (mass[s], s), default=None)
     out = []
-    for own in kept:
-        texts = [b.text for b in own if b.article]
-        if not texts:
-            texts = [b.text for b in own if b.path[: len(best)] == best and 2 * b.link_words <= len(b.text.split())]
-        out.append("\n\n".join(texts))
+    for slots in kept:
+        inside = [b for _, b in slots if b.article]
+        beside = [
+            b for slot, b in slots
+            if not b.article and 2 * b.link_words <= len(b.text.split())
+            and (not frame or slot == main or len(pages_with[slot, _numbered(b.text)]) < len(parsed))
+        ]
+        words = sum(len(b.text.split()) for b in inside), sum(len(b.text.split()) for b in beside)
+        alone = inside and EVIDENCE * words[0] >= words[1]
+        chosen = {id(b) for b in (inside if alone else inside + beside)}
+        out.append("\n\n".join(b.text for _, b in slots if id(b) in chosen))
     return out
 
 
+def _nested_text(wanted: list[list[Block]], nested: set, tokens: list[list[tuple]]) -> set:
+    """Texts that come with each occurrence of a nested element, where other text is most of what it holds."""
+    counts: dict[tuple, dict[int, int]] = defaultdict(dict)
+    for page, own in enumerate(tokens):
+        for t, n in Counter(t for t in own if t in nested).items():
+            counts[t][page] = n
+    same = {(b.path, b.text) for blocks in wanted for b in blocks if b.path and (b.path, b.text) in nested}
+    same = {t for t in same if counts[t] == counts.get((t[0], t[0][-1].split(" ")[0]))}
+    free: Counter = Counter()
+    for blocks in wanted:
+        for b in blocks:
+            free[b.path] += len(b.text.split()) * (-1 if (b.path, b.text) in same else 1)
+    return {t for t in same if free[t[0]] > 0}
+
+
+def _numbered(text: str) -> str:
+    """The text without its number if it has just one and words beside it."""
+    parts = re.split(r"[0-9]+", text)
+    return "9".join(parts) if len(parts) == 2 and any(c.isalpha() for c in text) else text
+
+
 def _elements(path: tuple[str, ...]) -> list[tuple[tuple[str, ...], tuple]]:
     """Each element of a path with the token that opened it."""
     return [(path[: k + 1], (path[: k + 1], label.split(" ")[0])) for k, label in enumerate(path)]

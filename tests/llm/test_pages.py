@@ -89,3 +89,25 @@ def test_a_section_of_prose_stays_whatever_its_name():
     prose = "Courts have long held that " + "such words belong to the article " * 4
     page = f"<article><p>One</p><section class='legal'><p>{prose}</p></section><div class='widget tags'>a b</div><div class='related'><a href='/'>{prose}</a></div></article>"
     assert pages.extract([page]) == [f"One\n\n{prose.strip()}"]
+
+
+def test_two_templates_on_one_host():
+    def page(i):
+        kind = "story" if i % 4 == 0 else "post"
+        return soup(i, f"<h2>Title {i}</h2><p>{'long words ' * (1 + i % 5)}of {i}.</p>").replace('class="c1"', f'class="{kind}"')
+
+    def other(i):
+        return f"<html><body><table class='frame'><ul><a href='/'>x</a></ul><section class='text'><p>Told in {'other ' * (i + 1)}words.</p></section></table></body></html>"
+
+    texts = pages.extract([page(i) for i in range(48)])
+    assert texts == [f"Title {i}\n\n{'long words ' * (1 + i % 5)}of {i}." for i in range(48)]
+    mixed = pages.extract([page(i) if i % 2 else other(i) for i in range(48)])
+    assert mixed == [texts[i] if i % 2 else f"Told in {'other ' * (i + 1)}words." for i in range(48)]
+
+
+def test_an_article_in_two_sections():
+    def body(i):
+        return f"<div class='lead'><p>{f'w{i} ' * 80}</p></div><div class='rest'><p>{f'v{i} ' * 20}</p></div>"
+
+    texts = pages.extract([soup(i, body(i)) for i in range(9)])
+    assert texts == [f"{(f'w{i} ' * 80).strip()}\n\n{(f'v{i} ' * 20).strip()}" for i in range(9)]

@@ -1,9 +1,10 @@
 """Substring deduplication by sliding spans of sentences.
 
-A span is a run of consecutive sentences of at least ``least`` words that is as short as it can be
-with its first sentence, or as short as it can be with its last. A passage of whole sentences with
-that many words is covered by the spans inside it: each of its sentences is in the shortest run
-that starts there, or in the shortest run that ends with the passage. Spans are hashed over their
+A span is a run of two or more consecutive sentences and at least ``FLOOR`` words that is as short as it
+can be with its first sentence, or as short as it can be with its last; or one sentence of at least
+``least`` words. A passage of two whole sentences with that many words is covered by the spans inside it:
+each of its sentences is in the shortest run that starts there, or in the shortest run that ends with the
+passage. What a passage has of a sentence that it cuts stays. Spans are hashed over their
 lower-cased words, joined globally, and every sentence in a span that has occurred before (in a
 document of smaller id, or earlier in the same) is removed.
 """
@@ -21,13 +22,20 @@ from pyspark.sql import functions as F
 
 from cellstar.llm.shared import slices, staged
 
-LEAST_WORDS = 30
-_END = re.compile(r"[.!?]+\s+|\n\s*")
+#: Words of a single sentence, and of a run of several: fewer are stock phrases.
+LEAST_WORDS, FLOOR = 30, 12
+#: Sentences end at their marks, with quotes, brackets or other signs after them, and at line ends. Each run of
+#: signs is taken whole, so that long ones take linear time.
+_SIGNS = re.compile(r"([^\w\s]++)(\s++)?|\n\s*+")
+_MARK, _WIDE = re.compile(r"[.!?…][^\w\s,;:]*+\Z"), re.compile(r"[。！？]")
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
     """Stretches that make up the whole text, each with the white space after it."""
-    ends = [m.end() for m in _END.finditer(text)]
+    ends = [
+        m.end() for m in _SIGNS.finditer(text)
+        if not m[1] or m[2] and ("\n" in m[2] or _MARK.search(m[1][-40:])) or _WIDE.search(m[1])
+    ]
     if text and (not ends or ends[-1] < len(text)):
         ends.append(len(text))
     return list(zip([0, *ends], ends, strict=False))
@@ -36,17 +44,22 @@ def sentences(text: str) -> list[tuple[int, int]]:
 def spans(text: str, least: int) -> list[tuple[int, int, bytes]]:
     """(first, last, digest) of the text's spans, by sentence number."""
     words = [text[a:b].lower().split() for a, b in sentences(text)]
+    at = [k for k, w in enumerate(words) if w]  # blank ones count for nothing
+    words = [words[k] for k in at]
     upto = np.cumsum([0, *map(len, words)])
-    if upto[-1] < least:
+    floor = min(FLOOR, least)
+    if upto[-1] < floor:
         return []
     # Shortest run from each start, and to each end: both by where the running count has grown enough.
-    last = np.searchsorted(upto, upto[:-1] + least)
-    first = np.searchsorted(upto, upto[1:] - least, "right") - 1
-    runs = {(i, int(j) - 1) for i, j in enumerate(last) if j < len(upto)}
+    place = np.arange(len(words))
+    last = np.maximum(np.searchsorted(upto, upto[:-1] + floor) - 1, place + 1)
+    first = np.minimum(np.searchsorted(upto, upto[1:] - floor, "right") - 1, place - 1)
+    runs = {(i, int(j)) for i, j in enumerate(last) if j < len(words)}
     runs |= {(int(i), j) for j, i in enumerate(first) if i >= 0}
-    digests = [xxhash.xxh3_128_digest(" ".join(w).encode("utf-8", "surrogatepass")) if w else b"" for w in words]
+    runs |= {(i, i) for i, w in enumerate(words) if len(w) >= least}
     digest = xxhash.xxh3_128_digest
-    return [(i, j, digest(b"".join(digests[i : j + 1]))) for i, j in sorted(runs)]
+    digests = [digest(" ".join(w).encode("utf-8", "surrogatepass")) for w in words]
+    return [(at[i], at[j], digest(b"".join(digests[i : j + 1]))) for i, j in sorted(runs)]
 
 
 def _row(doc_id: Column, text: Column) -> Column:

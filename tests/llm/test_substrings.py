@@ -64,3 +64,23 @@ def test_every_long_passage_goes_and_other_text_stays(spark):
 
 def test_empty_table(spark):
     assert substrings.remove_repeats(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_short_sentences_quotes_and_passages_cut_in_mid_sentence(spark):
+    short = 'The road was wet. "Who is there?" He did not answer her at once. '
+    passage = "a1 a2 a3 a4 a5 a6 a7 a8 a9 b1. c1 c2 c3 c4 c5 c6 c7. d1 d2 d3 d4 d5 d6 d7 d8!) e1 e2 e3 e4 e5 e6. f1 f2 f3 f4 f5 f6 f7 f8 f9."
+    cut = " ".join(passage.split()[4:-4])
+    rows = [
+        (1, f"Own one. {short}Own text one. {passage}"), (2, f"Own two. {short}Own text two."),
+        (3, f"It begins with {cut} and goes on."), (4, "Thank you. Thank you. All rights reserved."), (5, "Thank you. Thank you. All rights reserved."),
+    ]
+    got = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    texts = {r.doc_id: r.text for r in got.collect()}
+    assert texts[1] == rows[0][1] and texts[2] == "Own two. Own text two."
+    assert texts[3] == "It begins with a5 a6 a7 a8 a9 b1. f1 f2 f3 f4 f5 and goes on."
+    assert texts[4] == texts[5] == rows[4][1]
+
+
+def test_long_runs_of_signs_take_linear_time():
+    for sign in (".", "?!", ".,", "...»"):
+        assert "".join(f[a:b] for f in [sign * 200_000] for a, b in substrings.sentences(f)) == sign * 200_000

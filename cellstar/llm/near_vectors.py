@@ -34,8 +34,15 @@ def quantised(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     return q, scale, np.linalg.norm(near, axis=1), np.linalg.norm(unit - near, axis=1)
 
 
+def levelled(vectors: np.ndarray) -> np.ndarray:
+    """Vectors times a power of two each, so that their largest components are near 1: squares neither overflow nor
+    vanish, and no digit changes."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(1, keepdims=True))[1])
+
+
 def close_pairs(a: np.ndarray, b: np.ndarray, threshold: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
     """Positions (i, j) with cosine(a[i], b[j]) >= threshold; only i < j if both are the same tile."""
+    a, b = levelled(a), levelled(b)
     a_length, b_length = np.linalg.norm(a, axis=1), np.linalg.norm(b, axis=1)
     q, s, size, wrong = quantised(a / a_length[:, None])
     r, t, _, off = quantised(b / b_length[:, None])
@@ -80,7 +87,7 @@ def _tiles(nodes: DataFrame, n: int, size: int) -> DataFrame:
     cells = int(min(CELLS, np.ceil(n / size)))
     rank = F.xxhash64("node")
     sample = nodes.where(rank <= min(2**63 - 1, int(-(2**63) + min(1.0, SAMPLE / n) * 2**64))).select("vector").limit(SAMPLE)
-    points = matrix(sample.toArrow(), "vector", np.float64)
+    points = levelled(matrix(sample.toArrow(), "vector", np.float64))
     points = points / np.linalg.norm(points, axis=1, keepdims=True)
     centres = points[np.random.default_rng(5).permutation(len(points))[:cells]]
     for _ in range(5):
@@ -92,7 +99,7 @@ def _tiles(nodes: DataFrame, n: int, size: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             table = pa.Table.from_batches([batch])
-            unit = matrix(table, "vector", np.float64)
+            unit = levelled(matrix(table, "vector", np.float64)) if len(table) else np.zeros((0, centres.shape[1]))
             cell = (unit @ centres.T).argmax(1) if len(unit) else np.array([], np.int64)
             yield batch.append_column("cell", pa.array(cell.astype(np.int64)))
 
@@ -106,7 +113,7 @@ def _tiles(nodes: DataFrame, n: int, size: int) -> DataFrame:
 
 
 def _caps(table: pa.Table) -> pa.Table:
-    unit = matrix(table, "vector", np.float64)
+    unit = levelled(matrix(table, "vector", np.float64))
     unit = unit / np.linalg.norm(unit, axis=1, keepdims=True)
     centre = unit.sum(0)
     length = np.linalg.norm(centre)
@@ -126,7 +133,7 @@ def linked_nodes(nodes: DataFrame, threshold: float, size: int = TILE) -> DataFr
     second = caps.select(F.col("tile").alias("other"), F.col("centre").alias("c"), F.col("angle").alias("g"))
     dot = F.aggregate(F.zip_with("centre", "c", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     apart = F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), dot))) - F.col("angle") - F.col("g")
-    pairs = first.join(second, "other").where(apart <= float(np.arccos(threshold)) + SLACK).select("tile", "other")
+    pairs = first.join(second, "other").where(F.isnan(apart) | (apart <= float(np.arccos(threshold)) + SLACK)).select("tile", "other")
     ends = F.array(F.struct(F.col("tile").alias("t"), F.lit(0).alias("side")), F.struct(F.col("other").alias("t"), F.lit(1).alias("side")))
     sides = pairs.select("tile", "other", F.inline(ends)).where("side = 0 or tile <> other")
     dealt = tiled.select(F.col("tile").alias("t"), "node", "copies", "vector").join(sides, "t")

@@ -91,3 +91,16 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([(20, None, 1, "", "")], SCHEMA)
     assert [tuple(r) for r in near_vectors.near_duplicates(none).collect()] == [(20, 0, 20, True)]
     assert top_products.top_k(none).collect() == []
+
+
+def test_links_of_tiny_and_huge_vectors(spark):
+    base = np.random.default_rng(4).normal(size=(40, 8))
+    rows = [(i, list(map(float, v))) for i, v in enumerate(base)]
+    rows += [(100 + i, [x * f for x in rows[i][1]]) for i, f in enumerate((1e-200, 1e200, 1e-300, 1e300, 2.0))]
+    table = spark.createDataFrame([(*r, 1, "", "") for r in rows], SCHEMA)
+    unit = base / np.linalg.norm(base, axis=1, keepdims=True)
+    unit = np.vstack([unit, unit[:5]])
+    want = {r[0]: int(n) - 1 for r, n in zip(rows, (unit @ unit.T >= 0.9).sum(1), strict=True)}
+    got = {r.id: r for r in near_vectors.near_duplicates(table, size=16).collect()}
+    assert {i: r.n_links for i, r in got.items()} == want
+    assert all(got[100 + i].component == got[i].component for i in range(5))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellstar.llm import bpe, language, mixing, near_vectors, pages, pii, simhash, substrings, top_products, urls
+from cellstar.llm import bpe, language, manifest, mixing, near_vectors, pages, pii, simhash, substrings, top_products, urls
 
 
 #: Default place of the public tokenizer file; a parameter of the operator.
@@ -89,6 +90,20 @@ def op10_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_products.top_k(_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    docs = _table(spark, sf_dir, "documents").select(*fields)
+    lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    changed = manifest.leaf_digest([lower if f == "text" else F.col(f) for f in fields])
+    hit = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    proofs = manifest.manifest(docs, fields, tampered=F.when(hit, changed))
+    again = manifest.folded(F.col("presented"), F.col("path"))
+    return proofs.select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", manifest.proof_digest(F.col("path")).alias("proof_sha256"),
+        again.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_substrings": op2_substrings,
@@ -100,8 +115,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_urls": op8_urls,
     "op9_language": op9_language,
     "op10_top_products": op10_top_products,
+    "op11_manifest": op11_manifest,
 }
 ORACLE: dict[str, str] = {
     "op5_mixing": mixing.ORACLE,
     "op8_urls": urls.oracle(),
+    "op11_manifest": manifest.oracle(),
 }

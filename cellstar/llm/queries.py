@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellstar.llm import bpe, language, manifest, mixing, near_vectors, pages, pii, simhash, substrings, top_products, urls
+from cellstar.llm import bpe, language, manifest, mixing, near_vectors, pages, pii, simhash, substrings, token_files, top_products, urls
 
 
 #: Default place of the public tokenizer file; a parameter of the operator.
@@ -104,6 +104,13 @@ def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    files = token_files.write(docs, tokenizer_path(), end_id=1)
+    found = token_files.read(files, docs.schema["doc_id"].dataType.simpleString(), keep_ids=False)
+    return found.withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_substrings": op2_substrings,
@@ -116,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language": op9_language,
     "op10_top_products": op10_top_products,
     "op11_manifest": op11_manifest,
+    "op12_token_files": op12_token_files,
 }
 ORACLE: dict[str, str] = {
     "op5_mixing": mixing.ORACLE,

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellstar.llm import bpe, language, manifest, mixing, near_vectors, pages, pii, simhash, substrings, token_files, top_products, urls
+from cellstar.llm import bpe, language, manifest, mixing, near_vectors, pages, pii, simhash, spelling, substrings, token_files, top_products, urls
 
 
 #: Default place of the public tokenizer file; a parameter of the operator.
@@ -111,6 +111,10 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group(spelling.words(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_substrings": op2_substrings,
@@ -124,9 +128,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_top_products": op10_top_products,
     "op11_manifest": op11_manifest,
     "op12_token_files": op12_token_files,
+    "op13_spelling": op13_spelling,
 }
 ORACLE: dict[str, str] = {
     "op5_mixing": mixing.ORACLE,
     "op8_urls": urls.oracle(),
     "op11_manifest": manifest.oracle(),
+    "op13_spelling": spelling.oracle(),
 }

@@ -20,8 +20,10 @@ import io
 import json
 import os
 import struct
+import unicodedata
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,18 +36,20 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellstar.llm.bpe import SPACE
+from cellstar.llm.bpe import SPACE, byte_characters
 from cellstar.llm.shared import slices, staged
 from cellstar.session import checkpoint_dir
 
-#: Ids of a frame, bytes of text of a shard, and chunks of text a worker keeps encoded.
+#: Ids of a frame, bytes of text of a shard, and chunks and words a worker keeps encoded.
 FRAME_IDS, SHARD_BYTES, KEPT = 1 << 16, 32 << 20, 300_000
 #: Fixed values of the seekable format: magic numbers, the descriptor of a table with checksums.
 _INDEX_MAGIC, _TABLE_MAGIC, _END_MAGIC, _CHECKSUMS = 0x184D2A5D, 0x184D2A5E, 0x8F92EAB1, 0x80
 _FOOTER = 9
 #: Fixed values of tokenizers that never look across white space: their normalizers and pattern.
-_LOCAL = ({"type": "NFC"}, {"type": "Lowercase"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "})
+_NORMAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
 _WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# White space is the library's, not this module's.
+_WORD = regex.compile(_WORDS.replace(r"\s", SPACE))
 _CHUNK = regex.compile(f"[^{SPACE}]+")
 _ODD = regex.compile(r"[\x1c-\x1f]")
 
@@ -53,8 +57,8 @@ _ODD = regex.compile(r"[\x1c-\x1f]")
 class Encoder:
     """A tokenizer file, loaded by the tokenizers library.
 
-    Where the file's rules cannot look across white space, each chunk between white space is encoded once
-    and kept; other files get whole texts.
+    Where the file's rules cannot look across white space, texts are normalised and cut into words here and the library's model
+    encodes each word that a worker does not keep from earlier texts; other files get whole texts.
     """
 
     def __init__(self, content: str):
@@ -64,35 +68,68 @@ class Encoder:
         self.library = Tokenizer.from_str(content)
         self.library.no_truncation()
         self.library.no_padding()
-        normal = file.get("normalizer") or {}
+        self._model = self.library.model
+        normal = (file.get("normalizer") or {}).get("normalizers")
         cut = (file.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
         added = file.get("added_tokens", [])
-        self.by_chunk = (
-            all(n in _LOCAL for n in normal.get("normalizers", [normal]))
+        self.by_word = (
+            normal == _NORMAL
             and (cut[0].get("pattern"), cut[0].get("behavior"), cut[0].get("invert")) == ({"Regex": _WORDS}, "Removed", True)
-            and [c["type"] for c in cut[1:]] == ["ByteLevel"] and not cut[1]["add_prefix_space"]
-            and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or regex.search(r"\s", t["content"]) for t in added)
+            and [c["type"] for c in cut[1:]] == ["ByteLevel"] and not (cut[1]["add_prefix_space"] or cut[1]["use_regex"])
+            and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in added)
         )
-        self._known: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        self._special = {t["content"]: struct.pack("<I", t["id"]) for t in added}
+        names = sorted(map(regex.escape, self._special), key=len, reverse=True)
+        self._split = regex.compile("(" + "|".join(names) + ")") if names else None
+        self._letters = dict(enumerate(byte_characters()))
+        self._chunks: dict[str, bytes] = {}
+        self._words: dict[str, bytes] = {}
+
+    def _word(self, word: str) -> bytes:
+        ids = self._words.get(word)
+        if ids is None:
+            shown = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self._letters)
+            ids = array("I", [t.id for t in self._model.tokenize(shown)]).tobytes()
+            if len(word) <= 64:
+                self._words[word] = ids
+        return ids
+
+    def _plain(self, text: str) -> bytes:
+        """Ids of text without special tokens."""
+        # Lower-casing is by character, without the final form of sigma.
+        text = (text if text.isascii() else unicodedata.normalize("NFC", text).replace("Σ", "σ")).lower()
+        chunks, known = _CHUNK.findall(text) if _ODD.search(text) else text.split(), self._chunks
+        found = list(map(known.get, chunks))
+        if None in found:
+            for k, chunk in enumerate(chunks):
+                if found[k] is None and (ids := known.get(chunk)) is None:
+                    if chunk.isalpha():
+                        ids = self._word(chunk)
+                    elif chunk[:-1].isalpha() and not chunk[-1].isalnum():
+                        ids = self._word(chunk[:-1]) + self._word(chunk[-1])
+                    else:
+                        ids = b"".join(map(self._word, _WORD.findall(chunk)))
+                    if len(chunk) <= 64:
+                        known[chunk] = ids
+                    found[k] = ids
+                elif found[k] is None:
+                    found[k] = ids
+        return b"".join(found)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as they are stored."""
-        if not self.by_chunk:
-            return self._encode(texts)
-        known = self._known
-        if len(known) > KEPT:
-            known.clear()
-        cut = [_CHUNK.findall(t) if _ODD.search(t) else t.split() for t in texts]
-        new = list({c for chunks in cut for c in chunks if c not in known})
-        known.update(zip(new, self._encode(new), strict=True))
-        out = [b"".join([known[c] for c in chunks]) for chunks in cut]
-        for c in new:
-            if len(c) > 64:
-                del known[c]
+        if not self.by_word:
+            found = self.library.encode_batch_fast(texts, add_special_tokens=False)
+            return [np.array(e.ids, "<u4").tobytes() for e in found]
+        for kept in (self._chunks, self._words):
+            if len(kept) > KEPT:
+                kept.clear()
+        out = []
+        for text in texts:
+            if any(s in text for s in self._special):
+                out.append(b"".join([self._special.get(p) or self._plain(p) for p in self._split.split(text)]))
+            else:
+                out.append(self._plain(text))
         return out
 
 

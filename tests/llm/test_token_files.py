@@ -102,8 +102,8 @@ def test_other_tokenizers_get_whole_texts():
     with open(public_tokenizers.path("byte_bpe_50k.json")) as file:
         other = token_files.Encoder(file.read())
     known = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    assert not other.by_chunk
+    assert not other.by_word
     texts = ["Hello  world \n x", "", " a"]
     assert [np.frombuffer(b, "<u4").tolist() for b in other.encode(texts)] == [known.encode(t, add_special_tokens=False).ids for t in texts]
     with open(PATH) as file:
-        assert token_files.Encoder(file.read()).by_chunk
+        assert token_files.Encoder(file.read()).by_word

@@ -70,9 +70,9 @@ def stage_times(spark, folder: str) -> tuple[dict[str, float], int]:
     store = Store(spark, tempfile.mkdtemp(prefix="cellstar-bench-"))
     times: dict[str, float] = {}
     for load_id in ("warm", "timed"):
-        sheets = Inputs(spark, folder).sheets.withColumn("load_id", F.lit(load_id))
+        sheets = Inputs(spark, folder).sheets
         steps = (
-            lambda: store.append("grid", sheets),
+            lambda: store.append("grid", sheets, load_id),
             lambda: pipeline.transform(store, load_id),
             lambda: pipeline.load(store, load_id),
         )

@@ -28,6 +28,10 @@ PIPELINE = "sheet_etl"
 SHEET = sheets.SHEET
 
 
+class NothingReadError(RuntimeError):
+    """No file of a load could be read; each has its failed check."""
+
+
 def together(*jobs: Callable[[], object]) -> list:
     """Run independent Spark jobs side by side, so that short ones do not wait in line.
 
@@ -58,7 +62,7 @@ def ingest(store: Store, content: DataFrame, load_id: str, force: bool = False)
         # One read hashes every file; what is decided on and registered is this narrow table.
         seen = store.staged(
             f"{load_id}-seen",
-            content.select(F.col("path").alias("file_path"), "file_hash", F.col("length").alias("file_size_bytes")),
+            content.select(F.col("path").alias("file_path"), "file_hash", F.col("length").alias("file_size_bytes")).distinct(),
         )
         # What counts as done is a committed load, so a run that died is taken up again.
         done = store.live_loads().select(F.col("source_file").alias("file_path"), "file_hash")
@@ -67,12 +71,15 @@ def ingest(store: Store, content: DataFrame, load_id: str, force: bool = False)
         return _take_in(store, run, load_id, read, seen)
 
 
-def ingest_csv(store: Store, folder: str, load_id: str, pattern: str = "*.csv", force: bool = False) -> DataFrame:
-    """Read new and changed raw sheet CSVs into the grid table; returns the files read.
+def ingest_csv(
+    store: Store, folder: str | list[str], load_id: str, pattern: str = "*.csv", force: bool = False
+) -> DataFrame:
+    """Read new and changed raw sheet CSVs, of a folder or of a list of paths, into the grid table; returns the files read.
 
     The files are read once, as lines. One that cannot be parsed becomes a failed check.
     """
-    with Run(store, PIPELINE, "ingestion", source_file=folder, metadata={"load_id": load_id}) as run:
+    named = folder if isinstance(folder, str) else None
+    with Run(store, PIPELINE, "ingestion", source_file=named, metadata={"load_id": load_id}) as run:
         lines = store.staged(f"{load_id}-lines", csv_sheets.read_lines(store.spark, folder, pattern))
         seen = store.staged(
             f"{load_id}-line-files", csv_sheets.line_files(lines).withColumnRenamed("source_file", "file_path")
@@ -88,7 +95,7 @@ def _take_in(store: Store, run: Run, load_id: str, read: DataFrame, now: DataFra
     """Grid rows and errors of the same written table into the store, with their checks and lineage."""
     errors = store.staged(f"{load_id}-errors", workbook.errors_of(read))
     grid = workbook.without_errors(read, errors)
-    store.append("grid", grid.withColumn("load_id", F.lit(load_id)))
+    store.append("grid", grid, load_id)
 
     written = _of(store, "grid", load_id)
     rows, failed, *_ = together(
@@ -98,7 +105,7 @@ def _take_in(store: Store, run: Run, load_id: str, read: DataFrame, now: DataFra
         lambda: run.track_lineage(raw_lineage(written)),
     )
     if failed and not rows:
-        raise RuntimeError("all files failed to process")
+        raise NothingReadError("all files failed to process")
 
     now = now.withColumn("file_name", files.file_name(F.col("file_path")))
     register(store, now, written, errors)
@@ -199,7 +206,7 @@ def transform(store: Store, load_id: str, fallback: bool = False) -> None:
         layouts = store.staged(f"{load_id}-layouts", sheets.layout_of(grid, fallback))
 
         cells = sheets.measured_cells(sheets.unpivot(grid, layouts))
-        store.append("long", cells.withColumn("load_id", F.lit(load_id)))
+        store.append("long", cells, load_id)
 
         written = _of(store, "long", load_id)
         long = written.where(F.col("value").isNotNull())
@@ -241,7 +248,7 @@ def load(store: Store, load_id: str, locations: DataFrame | None = None) -> None
             F.lit(load_id).alias("load_id"),
         )
         # Sorted inside each task, so that readers of one period or indicator skip row groups.
-        store.append("facts", facts.sortWithinPartitions("date_id", "indicator_id"))
+        store.append("facts", facts.sortWithinPartitions("date_id", "indicator_id"), load_id)
 
         written = _of(store, "facts", load_id)
         commit(store, load_id, written)
@@ -316,8 +323,20 @@ def run(store: Store, folder: str, pattern: str = files.WORKBOOKS, force: bool =
 
 
 def run_files(store: Store, content: DataFrame, load_id: str, force: bool = False) -> str | None:
-    """All stages over ``path, content, length, file_hash`` rows."""
-    if ingest(store, content, load_id, force).isEmpty():
+    """All stages over ``path, content, length, file_hash`` rows; a load id that is committed adds nothing."""
+    if store.is_committed(load_id) or ingest(store, content, load_id, force).isEmpty():
+        return None
+    transform(store, load_id)
+    load(store, load_id)
+    return load_id
+
+
+def run_csv(
+    store: Store, folder: str | list[str], load_id: str | None = None, pattern: str = "*.csv", force: bool = False
+) -> str | None:
+    """All stages over the raw CSVs of a folder, or of a list of paths."""
+    load_id = load_id or uuid.uuid4().hex
+    if store.is_committed(load_id) or ingest_csv(store, folder, load_id, pattern, force).isEmpty():
         return None
     transform(store, load_id)
     load(store, load_id)

@@ -49,7 +49,7 @@ def _after(rows: DataFrame, before: WindowSpec) -> DataFrame:
     return rows.withColumn("_known", F.col("_last").isNotNull()).withColumn("_state", state).drop("_turned", "_last")
 
 
-def read_lines(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
+def read_lines(spark: SparkSession, folder: str | list[str], pattern: str = "*.csv") -> DataFrame:
     """``source_file, file_size, line, row, inside, ends_inside, raw``: every line with its place.
 
     ``row`` numbers the records of a file; the lines of a quoted line break share one. ``inside``

@@ -50,6 +50,11 @@ def content_hashes(files: DataFrame, content: str) -> DataFrame:
     return files.withColumn("file_hash", F.md5(F.col(content)))
 
 
+def as_plain_path(path: str) -> str:
+    """``path`` such that a reader takes no sign of it for a pattern."""
+    return _PATTERN_SIGNS.sub(r"\\\g<0>", path)
+
+
 def contents(chosen: DataFrame) -> DataFrame:
     """``path, content`` of the files in ``file_path``, and no others are read.
 
@@ -58,8 +63,7 @@ def contents(chosen: DataFrame) -> DataFrame:
     paths = [r.file_path for r in chosen.select("file_path").collect()]
     if not paths:
         return chosen.select(F.col("file_path").alias("path"), F.lit(b"").alias("content"))
-    plain = [_PATTERN_SIGNS.sub(r"\\\g<0>", p) for p in paths]
-    return chosen.sparkSession.read.format("binaryFile").load(plain).select("path", "content")
+    return chosen.sparkSession.read.format("binaryFile").load([as_plain_path(p) for p in paths]).select("path", "content")
 
 
 def detect_changes(now: DataFrame, registry: DataFrame) -> DataFrame:

@@ -27,13 +27,14 @@ TABLES: dict[str, StructType] = {
     "superseded": schemas.SUPERSEDED,
     "file_loads": schemas.FILE_LOADS,
     "run_events": schemas.RUN_EVENTS,
+    "run_states": StructType([*schemas.RUN_EVENTS.fields, StructField("load_id", StringType())]),
     "quality_metrics": schemas.QUALITY_METRICS,
     "field_lineage": schemas.FIELD_LINEAGE,
     "source_files": schemas.SOURCE_FILES,
     "quality_rules": schemas.QUALITY_RULES,
 }
 # Large tables are laid out by load, so a stage reads only what it was given.
-BY_LOAD = {"grid", "long", "facts"}
+BY_LOAD = {"grid", "long", "facts", "run_states"}
 
 
 def local_rows(spark: SparkSession, schema: StructType, records: list[dict]) -> DataFrame:
@@ -41,6 +42,10 @@ def local_rows(spark: SparkSession, schema: StructType, records: list[dict]) ->
     return spark.createDataFrame(pa.Table.from_pylist(records, schema=to_arrow_schema(schema)), schema)
 
 
+class CommittedLoadError(ValueError):
+    """Rows were to replace those of a load that others see already."""
+
+
 class Store:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
@@ -59,9 +64,15 @@ class Store:
                 raise
             return local_rows(self.spark, schema, [])
 
-    def append(self, table: str, rows: DataFrame) -> None:
-        """Add rows; in a table laid out by load they replace what that load wrote before."""
+    def append(self, table: str, rows: DataFrame, load_id: str | None = None) -> None:
+        """Add rows; in a table laid out by load they replace what that load wrote before it was committed."""
         schema = TABLES[table]
+        if (table in BY_LOAD) != (load_id is not None):
+            raise ValueError(f"{table}: a load id belongs to tables laid out by load, and to no other")
+        if load_id is not None:
+            if self.is_committed(load_id):
+                raise CommittedLoadError(f"{table}: load {load_id} is committed")
+            rows = rows.withColumn("load_id", F.lit(load_id))
         typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
         if table in BY_LOAD:
             writer = typed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -78,6 +89,9 @@ class Store:
     def committed(self) -> DataFrame:
         return self.read("loads").select("load_id").distinct()
 
+    def is_committed(self, load_id: str) -> bool:
+        return not self.committed().where(F.col("load_id") == load_id).isEmpty()
+
     def live_loads(self) -> DataFrame:
         """The newest committed load of every file."""
         columns = [c for c in schemas.FILE_LOADS.names if c != "source_file"]

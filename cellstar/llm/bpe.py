@@ -125,7 +125,7 @@ class Vocabulary:
     def entries(self, text: str) -> list[tuple[int, str, str, tuple[int, ...]]]:
         """Of the whole text, chunk by chunk."""
         out, known = [], self._known
-        for piece in self._split.split(text) if self._split and "<" in text else (text,):
+        for piece in self._split.split(text) if any(s in text for s in self.special) else (text,):
             if piece in self.special:
                 i = self.special[piece]
                 out.append((1, str(i), piece, (i,)))

@@ -1,4 +1,5 @@
 import hashlib
+import json
 import random
 
 import pytest
@@ -48,5 +49,15 @@ def test_scan_and_queue_agree():
         assert known._scanned(list(parts)) == known._queued(list(parts))
 
 
+def test_special_tokens_of_any_spelling():
+    with open(PATH) as file:
+        content = json.load(file)
+    content["added_tokens"].append(content["added_tokens"][0] | {"id": 49408, "content": "[SEP]"})
+    content = json.dumps(content)
+    ours, theirs = bpe.Vocabulary(content), Tokenizer.from_str(content)
+    for text in ("a[SEP]b", "[SEP]", "x [SEP", "<|endoftext|>[SEP]q"):
+        assert ours.encode(text) == theirs.encode(text, add_special_tokens=False).ids
+
+
 def test_empty_table(spark):
     assert bpe.encode(spark.createDataFrame([], "doc_id long, text string"), PATH).collect() == []

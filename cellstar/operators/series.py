@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CHUNK_ROWS = 1_000_000
-#: Marks of the quantile sketch that chunks are cut at, the steps they are searched in, and its accuracy.
+#: Chunks by rows at most, the steps their marks are searched in, and the accuracy of the sketch that sets them.
 MARKS = 2_048
 STEP = 64
 ACCURACY = 20_000
@@ -19,6 +19,23 @@ def _piece(key: Column, marks: Column) -> Column:
     return blocks + F.size(F.filter(F.slice(marks, blocks + 1, STEP), lambda m: m < key))
 
 
+def _in_ranges(rows: DataFrame, row_id: str, value: str, cuts: int) -> DataFrame:
+    """``rows`` with ``_chunk``: ranges of the id, then of the value of rows without one, ``cuts`` + 1 of each at most."""
+    rid, amount = F.col(row_id).cast("double"), F.col(value).cast("double")
+    shares = [(i + 1) / (cuts + 1) for i in range(cuts)]
+    none = F.array().cast("array<double>")
+    marks = rows.agg(
+        F.coalesce(F.percentile_approx(rid, shares, ACCURACY), none).alias("ids"),
+        F.coalesce(F.percentile_approx(F.when(rid.isNull(), amount), shares, ACCURACY), none).alias("values"),
+    )
+    ids, values = F.col("_marks.ids"), F.col("_marks.values")
+    rows = rows.withColumn("_marks", marks.select(F.struct("ids", "values")).scalar())
+    # Cuts keep the order of rows: ids first, then rows without one by value, then those without either.
+    late = F.size(ids) + 1 + _piece(amount, values)
+    chunk = F.when(rid.isNull(), F.when(amount.isNull(), F.size(ids) + F.size(values) + 2).otherwise(late)).otherwise(_piece(rid, ids))
+    return rows.withColumn("_chunk", chunk).drop("_marks")
+
+
 def with_previous(
     rows: DataFrame,
     slots: DataFrame,
@@ -40,26 +57,9 @@ def with_previous(
     large window runs per chunk; a small one over one tail row per chunk supplies what
     precedes the first row of each chunk. ``keep_chunk`` keeps the number of the range as ``_chunk``.
     """
-    rid, amount = F.col(row_id).cast("double"), F.col(value).cast("double")
-    shares = [(i + 1) / MARKS for i in range(MARKS)]
-    extent = rows.agg(
-        F.percentile_approx(rid, shares, ACCURACY).alias("ids"),
-        F.percentile_approx(F.when(rid.isNull(), amount), shares, ACCURACY).alias("values"),
-        F.ceil(F.count(F.lit(1)) / chunk_rows).alias("chunks"),
-    )
-
-    def kept(marks: str) -> Column:
-        """As many of the marks as there are chunks, evenly spread."""
-        passed = F.filter(marks, lambda m, i: F.floor((i + 1) * F.col("chunks") / MARKS) > F.floor(i * F.col("chunks") / MARKS))
-        return F.coalesce(passed, F.array().cast("array<double>"))
-
-    cuts = extent.select(kept("ids").alias("ids"), kept("values").alias("values"))
-    ids, values = F.col("_ids"), F.col("_values")
-    rows = rows.withColumn("_ids", cuts.select("ids").scalar()).withColumn("_values", cuts.select("values").scalar())
-    # Cuts keep the order of rows: ids first, then rows without one by value, then those without either.
-    late = F.size(ids) + 1 + _piece(amount, values)
-    chunk = F.when(rid.isNull(), F.when(amount.isNull(), F.size(ids) + F.size(values) + 2).otherwise(late)).otherwise(_piece(rid, ids))
-    chunked = rows.withColumn("_chunk", chunk).drop("_ids", "_values")
+    # Counted first: a sketch has as many marks as there are cuts, and what fits one chunk needs none.
+    cuts = min(-(-rows.count() // chunk_rows), MARKS) - 1
+    chunked = _in_ranges(rows, row_id, value, cuts) if cuts > 0 else rows.withColumn("_chunk", F.lit(0))
 
     place = [series, slot, "_chunk"]
     row_order = [F.col(row_id).asc_nulls_last(), F.col(value).asc_nulls_last()]

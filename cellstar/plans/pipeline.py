@@ -26,10 +26,8 @@ from cellstar.sources.store import Store, local_rows
 
 PIPELINE = "sheet_etl"
 SHEET = sheets.SHEET
-
-
-class NothingReadError(RuntimeError):
-    """No file of a load could be read; each has its failed check."""
+# What a run fails with when each of its files has a failed check.
+NOTHING_READ = "all files failed to process"
 
 
 def together(*jobs: Callable[[], object]) -> list:
@@ -105,7 +103,7 @@ def _take_in(store: Store, run: Run, load_id: str, read: DataFrame, now: DataFra
         lambda: run.track_lineage(raw_lineage(written)),
     )
     if failed and not rows:
-        raise NothingReadError("all files failed to process")
+        raise RuntimeError(NOTHING_READ)
 
     now = now.withColumn("file_name", files.file_name(F.col("file_path")))
     register(store, now, written, errors)

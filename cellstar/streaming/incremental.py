@@ -7,7 +7,6 @@ replayed meets its own first attempt, and no other stream's.
 
 from __future__ import annotations
 
-import contextlib
 import json
 from collections.abc import Callable
 
@@ -36,9 +35,12 @@ def _each_batch(arrived: DataFrame, checkpoint: str, process: Callable[[DataFram
     """Hand every batch with its load id to ``process`` until everything that has arrived is done."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        # The run is recorded as failed; files that nobody can read must not hold up those behind them.
-        with contextlib.suppress(pipeline.NothingReadError):
+        try:
             process(batch, load_name(batch.sparkSession, checkpoint, batch_id))
+        except RuntimeError as problem:
+            # The run is recorded as failed; files that nobody can read must not hold up those behind them.
+            if problem.args != (pipeline.NOTHING_READ,):
+                raise
 
     return (
         arrived.writeStream.foreachBatch(step)

@@ -127,3 +127,12 @@ def test_live_runs_are_folded(spark, tmp_path):
         run.complete("success", records_loaded=3)
     run_states.fold_available(store, str(tmp_path / "point")).awaitTermination()
     assert states(store.read("run_states")) == states(store.read("run_events"))
+
+
+def test_a_batch_of_bad_files_does_not_stop_the_stream(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "out"))
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "bad.csv").write_text('Indicator,"2016/17\nx,1\n')
+    ingest_available_csv(store, str(tmp_path / "in"), str(tmp_path / "point")).awaitTermination()
+    runs = monitoring.run_latest_state(store.read("run_events")).collect()
+    assert [(r.status, r.pipeline_stage) for r in runs] == [("failed", "ingestion")] and facts(store) == []

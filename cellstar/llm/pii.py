@@ -1,18 +1,21 @@
 """Personal data: base patterns, and a skip-chain conditional random field over each document.
 
 The base finds e-mail addresses, IP addresses, card and phone numbers by their form. The field's
-nodes are the tokens (runs without white space) that hold a digit or an at sign; no other token
-can be personal data, so the chain falls apart at them, and they only serve as context. Adjacent
-nodes share a transition potential; equal or similar tokens of a document (same letters and digits,
-or same long run of digits) share an agreement potential however far apart. Tokens in base spans
-are given, and loopy message passing carries their labels to the others. The potentials are learned
-from the base's own finds in a bounded sample of documents, by pseudo-likelihood.
+nodes are the tokens (runs without white space) that hold a digit or an at sign; tokens of one base
+span are one node, and so are number parts with only spaces between, so that a number in parts is
+never cut. No other token can be personal data: the chain falls apart at them, and they only serve as
+context. Adjacent nodes share a transition potential; equal or similar nodes of a document (same
+letters and digits, or numbers whose last seven digits are the same) share an agreement potential
+however far apart. Nodes in base spans are given, and loopy message passing carries their labels to
+the others. The potentials are learned from the base's own finds in a bounded sample of documents, by
+pseudo-likelihood; nodes that the base missed but that agree with one it found are latent there.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,6 +33,10 @@ FEATURES = 1 << 12
 SAMPLE_DOCS, TRAIN_DOCS, TRAIN_NODES = 20_000, 1_500, 400
 #: Marginal from which a token gets its label, and rounds of message passing.
 SURE, ROUNDS = 0.9, 30
+#: Mean of the agreement potentials before learning: documents seldom repeat what the base finds.
+AGREE = 8.0
+#: Digits at the end that similar numbers share.
+TAIL = 7
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -40,6 +47,8 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _HIT = re.compile(r"[0-9@]")
 _DIGIT = re.compile(r"[0-9]")
 _SPACE = re.compile(r"\s")
+# A number part that may go on after a space, and one that may follow; a point ends a sentence unless a plus came before.
+_GOES_ON, _FOLLOWS = re.compile(r"[+(]*[0-9][().0-9-]*\Z"), re.compile(r"\(?[0-9][().0-9-]*[,;:!?\"'\]}>]*\Z")
 _EDGE = " \t\n\r,.;:!?\"'()[]{}<>"
 
 Span = tuple[str, int, int]
@@ -96,57 +105,105 @@ def tokens(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def _owners(spans: list[tuple[int, int]], base: list[Span]) -> list[int]:
+    """Number of the base span that each token meets (of the first kind, if several), -1 for none."""
+    owners = [-1] * len(spans)
+    starts = [s[0] for s in spans]
+    for n, (_, start, end) in reversed(list(enumerate(base))):
+        for k in range(max(bisect_right(starts, start) - 1, 0), len(spans)):
+            if spans[k][0] >= end:
+                break
+            if spans[k][1] > start:
+                owners[k] = n
+    return owners
+
+
+def nodes(text: str, base: list[Span]) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """(places, labels) of the field's nodes; the label of a node outside the base is 0."""
+    spans = tokens(text)
+    places: list[tuple[int, int]] = []
+    labels: list[int] = []
+    before, plus = -1, False
+    for (start, end), owner in zip(spans, _owners(spans, base), strict=True):
+        joins = False
+        if places and owner == before:
+            last = places[-1][1]
+            joins = owner >= 0 or (
+                not text[last:start].strip(" ") and (plus or text[last - 1] != ".")
+                and bool(_GOES_ON.match(text[at:last])) and bool(_FOLLOWS.match(text[start:end]))
+            )
+        if joins:
+            places[-1] = places[-1][0], end
+        else:
+            places.append((start, end))
+            labels.append(1 + KINDS.index(base[owner][0]) if owner >= 0 else 0)
+            plus = text[start] == "+"
+        before, at = owner, start
+    return places, np.array(labels, np.int64)
+
+
 def _shape(token: str) -> str:
-    token = re.sub(r"[^\W\d_]+", "a", token[:200])
+    token = re.sub(r"[^\W\d_]+", "a", token)
     return re.sub(r"(.)\1+", r"\1\1", re.sub(r"[0-9]", "9", token))
 
 
 def _word_before(text: str, start: int) -> str:
-    words = text[max(0, start - 40) : start].split()
-    return words[-1].strip(_EDGE).lower() if words else ""
+    end = start
+    while end and text[end - 1].isspace():
+        end -= 1
+    start = end
+    while start and not text[start - 1].isspace():
+        start -= 1
+    return text[start:end].strip(_EDGE).lower()
+
+
+def _checksum(core: str) -> str:
+    """Whether the numbers as long as a card's pass the checksum; empty where there are none."""
+    numbers = ["".join(_DIGIT.findall(part)) for part in (core, *core.split())]
+    passed = [luhn(n) for n in numbers if 16 <= len(n) <= 19]
+    return str(any(passed)) if passed else ""
 
 
 def features(text: str, span: tuple[int, int]) -> list[int]:
-    """Hashed features of a token: its form, its digits, its length, and the word before."""
+    """Hashed features of a node: its form, its digits and their checksum, its length, and the word before."""
     token = text[span[0] : span[1]]
     core = token.strip(_EDGE)
     digits = sum("0" <= c <= "9" for c in token)
     names = (
         f"s{_shape(core)}", f"d{min(digits, 24)}", f"l{min(len(core), 60) // 4}", f"@{'@' in core}{'.' in core}",
-        f"+{core.startswith('+')}{core.count('.')}{core.count('-')}"[:16], f"w{_word_before(text, span[0])}",
-        f"f{min(digits, 20)}/{min(len(core), 20)}", "bias",
+        f"+{core.startswith('+')}{core.count('.')}{core.count('-')}", f"w{_word_before(text, span[0])}",
+        f"f{min(digits, 20)}/{min(len(core), 20)}", f"c{_checksum(core)}", "bias",
     )
     return [zlib.crc32(n.encode("utf-8", "surrogatepass")) % FEATURES for n in names]
 
 
 def edges(text: str, spans: list[tuple[int, int]]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """(chain, skip): adjacent tokens, and each token with the last one before it that is equal or similar."""
+    """(chain, skip): adjacent nodes, and each node with the last one before it that is equal or similar."""
     chain = [(i, i + 1) for i, (a, b) in enumerate(zip(spans, spans[1:], strict=False)) if text[a[1] : b[0]].isspace()]
     last: dict[str, int] = {}
     skip = []
     near = set(chain)
     for i, (start, end) in enumerate(spans):
         core = text[start:end].strip(_EDGE).lower()
-        digits = "".join(_DIGIT.findall(core))
-        keys = {"t" + "".join(c for c in core if c.isalnum())} | ({"d" + digits} if len(digits) >= 7 else set())
+        keys = {"t" + "".join(c for c in core if c.isalnum())}
+        if not any(c.isalpha() for c in core):
+            numbers = ("".join(_DIGIT.findall(part)) for part in (core, *core.split()))
+            keys |= {"d" + n[-TAIL:] for n in numbers if len(n) >= TAIL}
         before = {last[k] for k in keys if k in last}
         skip += [(j, i) for j in sorted(before) if (j, i) not in near]
         last.update(dict.fromkeys(keys, i))
     return chain, skip
 
 
-def given_labels(spans: list[tuple[int, int]], base: list[Span]) -> np.ndarray:
-    """Label of each token by the base span it meets (the first kind, if several), 0 for none."""
-    labels = np.zeros(len(spans), np.int64)
-    starts = [s[0] for s in spans]
-    for kind, start, end in reversed(base):
-        i = int(np.searchsorted(starts, start, "right")) - 1
-        for k in range(max(i, 0), len(spans)):
-            if spans[k][0] >= end:
-                break
-            if spans[k][1] > start:
-                labels[k] = LABELS.index(kind)
-    return labels
+def latent(labels: np.ndarray, skip: list[tuple[int, int]]) -> np.ndarray:
+    """The labels, with -1 for nodes outside the base that are linked, however indirectly, with one inside."""
+    reached = labels > 0
+    while True:
+        count = reached.sum()
+        for a, b in (*skip, *reversed(skip)):
+            reached[a] = reached[b] = reached[a] or reached[b]
+        if reached.sum() == count:
+            return np.where(reached & (labels == 0), -1, labels)
 
 
 @dataclass
@@ -184,10 +241,7 @@ class Field:
 
     def added(self, text: str, base: list[Span]) -> list[Span]:
         """Spans of tokens outside the base that the field labels; adjacent ones of a kind are one span."""
-        spans = tokens(text)
-        if not spans:
-            return []
-        given = given_labels(spans, base)
+        spans, given = nodes(text, base)
         if given.all():
             return []
         chain, skip = edges(text, spans)
@@ -208,9 +262,13 @@ class Field:
 
 
 def fit(documents: list[tuple[np.ndarray, list, list, np.ndarray]], epochs: int = 60, rate: float = 0.5, l2: float = 1e-3) -> Field:
-    """Pseudo-likelihood over (features, chain, skip, labels): each label given those of its neighbours."""
+    """Pseudo-likelihood over (features, chain, skip, labels): each label given those of its neighbours.
+
+    Latent nodes (label -1) are neither fitted nor given to others.
+    """
     k = len(LABELS)
-    field = Field(np.zeros((FEATURES, k)), np.zeros((k, k)), np.zeros(k))
+    field = Field(np.zeros((FEATURES, k)), np.zeros((k, k)), np.full(k, AGREE))
+    means = (0.0, 0.0, AGREE)
     if not documents:
         field.unary[:, 0] = 5.0
         return field
@@ -221,26 +279,26 @@ def fit(documents: list[tuple[np.ndarray, list, list, np.ndarray]], epochs: int
         np.array([(a + o, b + o) for d, o in zip(documents, offsets, strict=False) for a, b in d[i]], np.int64).reshape(-1, 2)
         for i in (1, 2)
     )
-    hot = np.eye(k)[labels]
+    seen = (labels >= 0)[:, None]
+    hot = np.eye(k)[labels] * seen
     sums = [np.full_like(x, 1e-6) for x in (field.unary, field.step, field.agree)]
     for _ in range(epochs):
         score = field.unary[feats].sum(1)
-        np.add.at(score, chain[:, 1], field.step[labels[chain[:, 0]]])
-        np.add.at(score, chain[:, 0], field.step[:, labels[chain[:, 1]]].T)
+        np.add.at(score, chain[:, 1], hot[chain[:, 0]] @ field.step)
+        np.add.at(score, chain[:, 0], hot[chain[:, 1]] @ field.step.T)
         for a, b in ((0, 1), (1, 0)):
             np.add.at(score, skip[:, a], hot[skip[:, b]] * field.agree)
         score -= score.max(1, keepdims=True)
         p = np.exp(score)
-        off = p / p.sum(1, keepdims=True) - hot
-        unary, step, agree = (np.zeros_like(s) for s in sums)
+        off = (p / p.sum(1, keepdims=True) - hot) * seen
+        unary, agree = np.zeros_like(field.unary), np.zeros_like(field.agree)
         for column in feats.T:
             np.add.at(unary, column, off)
-        np.add.at(step, labels[chain[:, 0]], off[chain[:, 1]])
-        np.add.at(step.T, labels[chain[:, 1]], off[chain[:, 0]])
+        step = hot[chain[:, 0]].T @ off[chain[:, 1]] + off[chain[:, 0]].T @ hot[chain[:, 1]]
         for a, b in ((0, 1), (1, 0)):
             agree += (off[skip[:, a]] * hot[skip[:, b]]).sum(0)
-        for weight, gradient, total in zip((field.unary, field.step, field.agree), (unary, step, agree), sums, strict=True):
-            gradient = gradient / len(labels) + l2 * weight / 10
+        for weight, gradient, total, mean in zip((field.unary, field.step, field.agree), (unary, step, agree), sums, means, strict=True):
+            gradient = gradient / len(labels) + l2 * (weight - mean) / 10
             total += gradient**2
             weight -= rate * gradient / np.sqrt(total)
     field.agree = np.maximum(field.agree, 0)
@@ -260,12 +318,12 @@ def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
         for batch in slices(batches):
             out = []
             for rank, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                spans = tokens(text)
+                spans, labels = nodes(text, base_spans(text))
                 if not 0 < len(spans) <= TRAIN_NODES:
                     continue
                 chain, skip = edges(text, spans)
                 flat = [f for s in spans for f in features(text, s)]
-                labels = given_labels(spans, base_spans(text)).tolist()
+                labels = latent(labels, skip).tolist()
                 out.append((rank, flat, [x for e in chain for x in e], [x for e in skip for x in e], labels))
             columns = list(zip(*out, strict=True)) or [()] * 5
             kinds = [pa.int64(), *[pa.list_(pa.int32())] * 4]

@@ -53,6 +53,55 @@ def test_repeats_take_the_label_and_clean_numbers_do_not(field):
     assert {k for k, *_ in base} == {"email", "phone"}
     assert not [s for s in added if text[s[1] : s[2]] in ("2024", "15", "3.5")]
     assert all(e <= s or b >= f for _, s, f in base for _, b, e in added)
+    assert [(k, text[a:b]) for k, a, b in added] == [("phone", "456) 555-2186")]
+
+
+SPELT = {
+    "phone": [lambda d: d, lambda d: d[-10:], lambda d: f"({d[-10:-7]}) {d[-7:-4]}-{d[-4:]}", lambda d: f"{d[-10:-7]} {d[-7:-4]} {d[-4:]}"],
+    "card": [lambda d: "/".join(d[k : k + 4] for k in range(0, 16, 4)), lambda d: ".".join(d[k : k + 8] for k in range(0, 16, 8))],
+}
+
+
+def test_repeats_spelt_otherwise_are_found_whole(spark, field):
+    found = missed = 0
+    for row in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("text IS NOT NULL").collect():
+        for kind, start, end in pii.base_spans(row.text):
+            digits = re.sub("[^0-9]", "", row.text[start:end])
+            for spell in SPELT.get(kind, ()):
+                again = spell(digits)
+                text = f"{row.text}\nThat was {again}, once more in 2024."
+                at = len(row.text) + len("\nThat was ")
+                base = pii.base_spans(text)
+                if any(s < at + len(again) and e > at for _, s, e in base):
+                    continue
+                hits = [(k, text[s:e].strip("()")) for k, s, e in field.added(text, base) if s < at + len(again) and e > at]
+                found += hits == [(kind, again.strip("()"))]
+                missed += not hits
+                assert not hits or hits == [(kind, again.strip("()"))]
+    assert found >= 50 and found >= 0.9 * (found + missed)
+
+
+def test_no_number_is_cut_in_two(field):
+    text = "Call +1 (843) 555-7672 170.106.47.218 now."
+    assert all(text[s:e] == "+1 (843) 555-7672" for _, s, e in field.added(text, pii.base_spans(text)))
+    text = "It is +1 (843) 555-7672, so call +1 (843) 555-7672 170.106.47.218 now."
+    base = pii.base_spans(text)
+    assert [text[s:e] for _, s, e in base] == ["170.106.47.218", "+1 (843) 555-7672"]
+    assert [text[s:e] for _, s, e in field.added(text, base)] == ["+1 (843) 555-7672"]
+
+
+def test_nodes():
+    text = "tel (456) 555 21-86, 7 of 9. 10.0.0.1 8 4111 1111 1111 1111 2020. 15 é1"
+    places, labels = pii.nodes(text, pii.base_spans(text))
+    assert [text[a:b] for a, b in places] == ["(456) 555 21-86,", "7", "9.", "10.0.0.1", "8 4111 1111 1111 1111 2020.", "15", "é1"]
+    assert labels.tolist() == [0, 0, 0, 2, 0, 0, 0]
+    long = "1 " * 100_000
+    assert len(pii.nodes(long, [])[0]) == 1 and pii.nodes("", [])[0] == []
+
+
+def test_what_agrees_with_a_find_is_latent():
+    skip = [(0, 2), (2, 4), (1, 5)]
+    assert pii.latent(np.array([0, 0, 0, 0, 3, 0]), skip).tolist() == [-1, 0, -1, 0, 3, 0]
 
 
 def test_message_passing_is_exact_on_a_tree():

@@ -1,12 +1,12 @@
 """Substring deduplication by sliding spans of sentences.
 
-A span is a run of two or more consecutive sentences and at least ``FLOOR`` words that is as short as it
-can be with its first sentence, or as short as it can be with its last; or one sentence of at least
-``least`` words. A passage of two whole sentences with that many words is covered by the spans inside it:
-each of its sentences is in the shortest run that starts there, or in the shortest run that ends with the
-passage. What a passage has of a sentence that it cuts stays. Spans are hashed over their
-lower-cased words, joined globally, and every sentence in a span that has occurred before (in a
-document of smaller id, or earlier in the same) is removed.
+A span is a run of two or more consecutive sentences and at least ``floor`` words, or one sentence of at
+least ``least`` words. Of the runs only those are hashed that are as short as they can be with their first
+sentence, or as short as they can be with their last: the result is that of hashing every run, since each
+sentence of a longer one is in the shortest run that starts there, or in the shortest run that ends with
+the longer one, and both repeat with it. What a passage has of a sentence that it cuts stays. Spans are
+hashed over their lower-cased words, joined globally, and every sentence in a span that has occurred
+before (in a document of smaller id, or earlier in the same) is removed.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from cellstar.llm.shared import slices, staged
 
@@ -27,27 +28,32 @@ LEAST_WORDS, FLOOR = 30, 12
 #: Sentences end at their marks, with quotes, brackets or other signs after them, and at line ends. Each run of
 #: signs is taken whole, so that long ones take linear time.
 _SIGNS = re.compile(r"([^\w\s]++)(\s++)?|\n\s*+")
-_MARK, _WIDE = re.compile(r"[.!?…][^\w\s,;:]*+\Z"), re.compile(r"[。！？]")
+_MARK, _WIDE = re.compile(r"[.!?…]"), re.compile(r"[。！？]")
+
+
+def _stops(signs: str) -> bool:
+    """Whether a run of signs has a mark after its last comma, colon or semicolon."""
+    return bool(_MARK.search(signs, max(signs.rfind(c) for c in ",;:") + 1))
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
     """Stretches that make up the whole text, each with the white space after it."""
     ends = [
         m.end() for m in _SIGNS.finditer(text)
-        if not m[1] or m[2] and ("\n" in m[2] or _MARK.search(m[1][-40:])) or _WIDE.search(m[1])
+        if not m[1] or m[2] and ("\n" in m[2] or _stops(m[1])) or _WIDE.search(m[1])
     ]
     if text and (not ends or ends[-1] < len(text)):
         ends.append(len(text))
     return list(zip([0, *ends], ends, strict=False))
 
 
-def spans(text: str, least: int) -> list[tuple[int, int, bytes]]:
+def spans(text: str, least: int, floor: int = FLOOR) -> list[tuple[int, int, bytes]]:
     """(first, last, digest) of the text's spans, by sentence number."""
     words = [text[a:b].lower().split() for a, b in sentences(text)]
     at = [k for k, w in enumerate(words) if w]  # blank ones count for nothing
     words = [words[k] for k in at]
     upto = np.cumsum([0, *map(len, words)])
-    floor = min(FLOOR, least)
+    floor = min(floor, least)
     if upto[-1] < floor:
         return []
     # Shortest run from each start, and to each end: both by where the running count has grown enough.
@@ -62,63 +68,68 @@ def spans(text: str, least: int) -> list[tuple[int, int, bytes]]:
     return [(at[i], at[j], digest(b"".join(digests[i : j + 1]))) for i, j in sorted(runs)]
 
 
-def _row(doc_id: Column, text: Column) -> Column:
-    """Tells rows of one id apart; rows equal in id and text are one document."""
-    return F.xxhash64(doc_id.cast("string"), text).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
+def _digest(text: Column) -> list[Column]:
+    """128 bits of the text, as two numbers: they tell rows of one id apart."""
+    return [F.xxhash64(text).alias("r1"), F.xxhash64(F.lit(1), text).alias("r2")]
 
 
-def _spans(rows: DataFrame, least: int) -> DataFrame:
-    """(id, row, i, j, hi, lo): all spans of all rows."""
+def _spans(rows: DataFrame, least: int, floor: int) -> DataFrame:
+    """(id, r1, r2, i, j, hi, lo): all spans of all rows."""
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            each = [spans(t or "", least) for t in batch.column(2).to_pylist()]
+            each = [spans(t or "", least, floor) for t in batch.column(3).to_pylist()]
             place = pa.array(np.repeat(np.arange(len(each)), [len(e) for e in each]))
             flat = [s for e in each for s in e]
             digests = np.frombuffer(b"".join(s[2] for s in flat), np.int64).reshape(-1, 2)
             yield pa.record_batch(
-                [batch.column(0).take(place), batch.column(1).take(place), pa.array([s[0] for s in flat], pa.int32()),
+                [*[batch.column(c).take(place) for c in range(3)], pa.array([s[0] for s in flat], pa.int32()),
                  pa.array([s[1] for s in flat], pa.int32()), pa.array(digests[:, 0].copy()), pa.array(digests[:, 1].copy())],
-                names=["id", "row", "i", "j", "hi", "lo"],
+                names=["id", "r1", "r2", "i", "j", "hi", "lo"],
             )
 
-    return rows.mapInArrow(run, f"id {kind}, row int, i int, j int, hi bigint, lo bigint")
+    return rows.mapInArrow(run, f"id {kind}, r1 bigint, r2 bigint, i int, j int, hi bigint, lo bigint")
 
 
-def repeated_spans(docs: DataFrame, least: int, id_column: str, text_column: str) -> DataFrame:
-    """(id, row, i, j) of every span that is not the first of its digest; ids in order, null last."""
-    doc_id, text = F.col(f"`{id_column}`"), F.col(f"`{text_column}`")
-    rows = docs.select(doc_id.alias("id"), _row(doc_id, text).alias("row"), text.alias("text"))
-    place = F.struct(F.col("id").isNull().alias("last"), "id", "row", "i")
+def repeated_spans(docs: DataFrame, least: int, floor: int, id_column: str, text_column: str) -> DataFrame:
+    """(id, r1, r2, i, j) of every span that is not the first of its digest; ids in order, null last."""
+    text = F.col(f"`{text_column}`")
+    rows = docs.select(F.col(f"`{id_column}`").alias("id"), *_digest(text), text.alias("text"))
+    found = staged(_spans(rows, least, floor))
+    place = F.struct(F.col("id").isNull().alias("last"), "id", "r1", "r2", "i")
     # Each digest is reduced in the tasks before it is shuffled; what is joined back is a row per repeated digest.
     # Written first: its join then has two shuffles of its own, and Spark can split a hot digest.
-    firsts = _spans(rows, least).groupBy("hi", "lo").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+    firsts = found.groupBy("hi", "lo").agg(F.min(place).alias("first"), F.count("*").alias("n"))
     firsts = staged(firsts.where("n > 1").select("hi", "lo", "first"))
-    return _spans(rows, least).join(firsts, ["hi", "lo"]).where(place != F.col("first")).select("id", "row", "i", "j")
+    return found.join(firsts, ["hi", "lo"]).where(place != F.col("first")).select("id", "r1", "r2", "i", "j")
 
 
 def remove_repeats(
-    docs: DataFrame, least: int = LEAST_WORDS, id_column: str = "doc_id", text_column: str = "text", prefix: str = ""
+    docs: DataFrame, least: int = LEAST_WORDS, id_column: str = "doc_id", text_column: str = "text", prefix: str = "",
+    floor: int = FLOOR,
 ) -> DataFrame:
     """``docs`` with repeated sentences cut out of the text, and n_sentences and n_removed added.
 
     A document all of whose sentences are repeats keeps its row, with an empty text. Null stays null, with no
-    sentences. Rows equal in id and text count as one document and are cut alike. ``prefix`` goes before the
-    added names; columns that have one are replaced.
+    sentences. Rows equal in id and text count as one document and are cut alike; rows of one id (or none)
+    with different texts are told apart by 128 bits of the text. ``prefix`` goes before the added names;
+    columns that have one are replaced. Other columns may have any name, also one with a dot.
     """
     added = [f"{prefix}n_sentences", f"{prefix}n_removed"]
     docs = docs.drop(*added)
-    doc_id, text = F.col(f"`{id_column}`"), F.col(f"`{text_column}`")
-    cuts = repeated_spans(docs, least, id_column, text_column).groupBy("id", "row").agg(
-        F.collect_set(F.struct("i", "j")).alias("__cuts")
+    names = docs.columns
+    # Columns go by their places here, so that no name can clash.
+    docs = docs.toDF(*[f"c{k}" for k in range(len(names))])
+    doc_id, text = (f"c{names.index(c)}" for c in (id_column, text_column))
+    cuts = repeated_spans(docs, least, floor, doc_id, text).groupBy("id", "r1", "r2").agg(
+        F.collect_set(F.struct("i", "j")).alias("cuts")
     )
-    cuts = cuts.select(F.col("id").alias("__id"), F.col("row").alias("__row"), "__cuts")
-    joined = docs.withColumn("__r", _row(doc_id, text)).join(
-        cuts, doc_id.eqNullSafe(F.col("__id")) & (F.col("__r") == F.col("__row")), "left"
+    joined = docs.select("*", *[d.alias(f"own{k}") for k, d in enumerate(_digest(F.col(text)))]).join(
+        cuts, F.col(doc_id).eqNullSafe(F.col("id")) & (F.col("own0") == F.col("r1")) & (F.col("own1") == F.col("r2")), "left"
     )
-    rows = joined.select(*[F.col(f"`{c}`") for c in docs.columns], "__cuts")
-    place, last = docs.columns.index(text_column), len(docs.columns)
+    rows = joined.select(*docs.columns, "cuts")
+    place, last = names.index(text_column), len(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -134,7 +145,7 @@ def remove_repeats(
             columns = list(batch.columns)[:-1]
             columns[place] = pa.array(texts, pa.string())
             columns += [pa.array(counts, pa.int64()), pa.array(gone, pa.int64())]
-            yield pa.record_batch(columns, names=[*batch.schema.names[:-1], *added])
+            yield pa.record_batch(columns, names=[*batch.schema.names[:-1], "n", "gone"])
 
-    zero = F.lit(0).cast("long")
-    return rows.mapInArrow(run, docs.limit(0).withColumn(added[0], zero).withColumn(added[1], zero).schema)
+    schema = StructType([*docs.schema.fields, StructField("n", LongType()), StructField("gone", LongType())])
+    return rows.mapInArrow(run, schema).toDF(*names, *added)

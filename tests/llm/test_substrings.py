@@ -84,3 +84,57 @@ def test_short_sentences_quotes_and_passages_cut_in_mid_sentence(spark):
 def test_long_runs_of_signs_take_linear_time():
     for sign in (".", "?!", ".,", "...»"):
         assert "".join(f[a:b] for f in [sign * 200_000] for a, b in substrings.sentences(f)) == sign * 200_000
+
+
+def test_as_if_every_run_were_hashed(spark):
+    """At the query's own settings: all runs of two or more sentences from 12 words, single ones from 30."""
+    pick = random.Random(10)
+    sentence = lambda: " ".join(pick.choices("a b c d e f g h i j".split(), k=pick.choice([1, 2, 3, 5, 8, 31]))) + ". "
+    pool = [sentence() for _ in range(60)]
+    rows = []
+    for i in range(60):
+        own = pick.choices(pool, k=pick.randint(0, 8))
+        at = pick.randint(0, len(pool) - 6)
+        rows.append((i, "".join(own + pool[at : at + pick.randint(1, 6)] + [sentence(), "\n\n"])))
+    seen, want = {}, {}
+    for i, text in rows:
+        parts = [text[a:b] for a, b in substrings.sentences(text)]
+        words = [p.lower().split() for p in parts]
+        full, cut = [k for k, w in enumerate(words) if w], set()
+        for x in range(len(full)):
+            for y in range(x, len(full)):
+                run = full[x : y + 1]
+                if sum(len(words[k]) for k in run) >= (12 if y > x else 30):
+                    key = tuple(tuple(words[k]) for k in run)
+                    if seen.setdefault(key, (i, x)) != (i, x):
+                        cut.update(range(run[0], run[-1] + 1))
+        want[i] = "".join(p for k, p in enumerate(parts) if k not in cut)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.text for r in substrings.remove_repeats(docs).collect()}
+    assert got == want and sum(len(t) for t in got.values()) < sum(len(t) for _, t in rows)
+    few = substrings.remove_repeats(docs, floor=2).agg({"n_removed": "sum"}).first()[0]
+    assert few > substrings.remove_repeats(docs).agg({"n_removed": "sum"}).first()[0]
+
+
+def test_any_other_columns(spark):
+    text = "one two three four five six seven. eight nine ten eleven twelve thirteen. "
+    names = ["doc_id", "text", "__cuts", "__r", "__id", "__row", "a.b", "id", "r1", "cuts", "c0", "own0", "n", "gone"]
+    docs = spark.createDataFrame([(k, text, *names[2:]) for k in range(2)], ", ".join(f"`{n}` {'long' if n == 'doc_id' else 'string'}" for n in names))
+    out = substrings.remove_repeats(docs)
+    assert out.columns == [*names, "n_sentences", "n_removed"]
+    rows = sorted(out.collect())
+    assert [tuple(r)[2:-2] for r in rows] == [tuple(names[2:])] * 2
+    assert [(r.text, r.n_removed) for r in rows] == [(text, 0), ("", 2)]
+
+
+def test_rows_without_id_keep_their_own_sentences(spark):
+    own = [f"first{k} words of some row number{k} here. second{k} sentence of that row number{k} too. " for k in range(300)]
+    docs = spark.createDataFrame([(None, t) for t in own], "doc_id long, text string")
+    assert sorted(r.text for r in substrings.remove_repeats(docs).collect()) == sorted(own)
+    twice = docs.unionAll(spark.createDataFrame([(None, own[0] + own[1])], docs.schema))
+    assert sum(r.n_removed for r in substrings.remove_repeats(twice).collect()) == 4
+
+
+def test_long_runs_of_signs():
+    text = "a." + ")" * 100 + " b.," + ")" * 100 + " c" + ".," * 100_000 + " d"
+    assert [text[a:b][:1] for a, b in substrings.sentences(text)] == ["a", "b"]

@@ -8,6 +8,7 @@ Spark ships the dimension when its estimated size allows and shuffles otherwise.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -51,6 +52,35 @@ def merged(rows: DataFrame, *keys: str) -> DataFrame:
     )
 
 
+def fact_states(facts: DataFrame, *keys: str) -> DataFrame:
+    """Mergeable measures per key, with ``squares``: the sum of squared distances from the key's mean."""
+    value = F.col("value").cast("double")
+    return facts.groupBy(*keys).agg(
+        _count().alias("n"),
+        F.count("value").alias("n_values"),
+        F.sum("value").alias("total"),
+        F.min("value").alias("low"),
+        F.max("value").alias("high"),
+        (F.var_pop(value) * F.count("value")).alias("squares"),
+        F.max("fact_id").alias("last_fact_id"),
+    )
+
+
+def merged_states(states: DataFrame, *keys: str, also: Sequence[Column] = ()) -> DataFrame:
+    """Merge states to coarser keys, none of them null, with further aggregates ``also``.
+
+    Squares are moved to the common mean, which is joined back: sums of plain squares would lose digits where
+    values lie far from zero. States are few, so they are read twice; a key with many can be split by that join.
+    """
+    whole = merged(states, *keys)
+    centre = whole.select(*keys, mean().cast("double").alias("_centre"))
+    off = F.try_divide(as_double("total"), F.col("n_values")) - F.col("_centre")
+    moved = states.join(centre, list(keys)).groupBy(*keys).agg(
+        F.sum(F.col("squares") + F.col("n_values") * off * off).alias("squares"), *also
+    )
+    return whole.join(moved, list(keys))
+
+
 def mean() -> Column:
     return exact_mean(F.col("total"), F.col("n_values"))
 
@@ -402,14 +432,39 @@ def indicator_summary(facts: DataFrame, indicators: DataFrame, dates: DataFrame)
     return named.drop("indicator_id")
 
 
+def indicator_summary_of(states: DataFrame, indicators: DataFrame, dates: DataFrame) -> DataFrame:
+    """The same from states by indicator and date, or by finer keys."""
+    dated = states.join(dates.select("date_id", "period_label"), "date_id")
+    per = merged_states(dated, "indicator_id", also=[F.count_distinct("period_label").alias("periods_covered")])
+    named = per.join(indicators.select("indicator_id", "indicator_name", "category"), "indicator_id")
+    return named.select(
+        "indicator_name",
+        "category",
+        F.col("n").alias("total_measurements"),
+        round2(mean()).alias("avg_value"),
+        round2(F.sqrt(F.try_divide("squares", F.col("n_values") - 1))).alias("std_dev"),
+        as_double("low").alias("min_value"),
+        as_double("high").alias("max_value"),
+        "periods_covered",
+    )
+
+
 def monthly_summary(facts: DataFrame, indicators: DataFrame, dates: DataFrame) -> DataFrame:
-    dated = reduce_facts(facts, "indicator_id", "date_id").join(
+    return monthly_summary_of(reduce_facts(facts, "indicator_id", "date_id"), indicators, dates)
+
+
+def monthly_summary_of(states: DataFrame, indicators: DataFrame, dates: DataFrame) -> DataFrame:
+    """The same from states by indicator and date, or by finer keys; squares are not needed."""
+    dated = states.join(
         dates.where(F.col("date_value").isNotNull()).select(
             "date_id", F.trunc("date_value", "month").alias("month")
         ),
         "date_id",
     )
-    named = dated.join(indicators.select("indicator_id", "indicator_name"), "indicator_id")
+    # A row per indicator and month before names are looked up.
+    named = merged(dated, "month", "indicator_id").join(
+        indicators.select("indicator_id", "indicator_name"), "indicator_id"
+    )
     return (
         merged(named, "month", "indicator_name")
         .select("month", "indicator_name", round2(mean()).alias("monthly_avg"), F.col("n").alias("measurements"))

@@ -30,6 +30,7 @@ def register(store: Store, as_of: datetime | None = None) -> None:
     """Temporary views and functions over the current state of a store."""
     as_of = as_of or datetime.now(timezone.utc)
     facts, indicators, dates = store.live("facts"), store.read("dim_indicator"), store.read("dim_date")
+    sums = store.live("fact_sums")
     metrics = store.read("quality_metrics")
     runs = monitoring.run_latest_state(store.read("run_events"))
     views = {
@@ -42,8 +43,8 @@ def register(store: Store, as_of: datetime | None = None) -> None:
         "field_lineage": store.read("field_lineage"),
         "source_files": store.registry(),
         "quality_rules": store.read("quality_rules"),
-        "indicator_summary": book.indicator_summary(facts, indicators, dates),
-        "monthly_summary": book.monthly_summary(facts, indicators, dates),
+        "indicator_summary": book.indicator_summary_of(sums, indicators, dates),
+        "monthly_summary": book.monthly_summary_of(sums, indicators, dates),
         "v_recent_pipeline_runs": monitoring.v_recent_runs(runs),
         "v_pipeline_health": monitoring.v_pipeline_health(runs, as_of),
         "v_quality_trend": monitoring.v_quality_trend(metrics, as_of),

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from cellstar.functions import safe_name
 from cellstar.operators import checks, sheets, warehouse
-from cellstar.plans import quality
+from cellstar.plans import book, quality
 from cellstar.plans.runs import Run
 from cellstar.schemas import LOADS
 from cellstar.sources import csv_sheets, files, workbook
@@ -248,8 +248,9 @@ def load(store: Store, load_id: str, locations: DataFrame | None = None) -> None
         # Sorted inside each task, so that readers of one period or indicator skip row groups.
         store.append("facts", facts.sortWithinPartitions("date_id", "indicator_id"), load_id)
 
-        written = _of(store, "facts", load_id)
-        commit(store, load_id, written)
+        sums = book.fact_states(_of(store, "facts", load_id), "source_file", "indicator_id", "date_id")
+        store.append("fact_sums", sums, load_id)
+        commit(store, load_id, _of(store, "fact_sums", load_id))
         checked = warehouse.committed_checks(store.live_loads(), indicators, dates)
         done = store.read("file_loads").where(F.col("load_id") == load_id)
         hops = _hop(
@@ -278,17 +279,18 @@ def add_dates(store: Store, load_id: str, long: DataFrame) -> None:
         store.append("dim_date", warehouse.numbered_dates(unknown, known))
 
 
-def commit(store: Store, load_id: str, written: DataFrame) -> None:
+def commit(store: Store, load_id: str, sums: DataFrame) -> None:
     """Make this load the live one of every file it holds, also of files left without facts.
 
-    Counts are kept per file, so later checks need not read the facts again. The row in
+    Counts are kept per file, so later checks need not read the facts again; they come from the
+    load's sums, which are live or replaced together with the facts. The row in
     ``loads`` comes last: nothing written before it counts without it.
     """
     read = _of(store, "grid", load_id).select("source_file").distinct()
-    counted = written.groupBy("source_file").agg(
-        F.count(F.lit(1)).alias("fact_count"),
-        F.count_if(warehouse.orphan()).alias("orphan_count"),
-        F.max("fact_id").alias("max_fact_id"),
+    counted = sums.groupBy("source_file").agg(
+        F.sum("n").alias("fact_count"),
+        F.sum(F.when(warehouse.orphan(), F.col("n")).otherwise(0)).alias("orphan_count"),
+        F.max("last_fact_id").alias("max_fact_id"),
     )
     hashes = store.registry().select(F.col("file_path").alias("source_file"), "file_hash")
     entries = store.staged(

@@ -51,6 +51,20 @@ FACT = _schema(
     ("source_file", _S),
     ("load_id", _S),
 )
+# Measures of a load by file, indicator and date: merged on read, so summaries never reread the facts.
+FACT_SUMS = _schema(
+    ("source_file", _S),
+    ("indicator_id", _L),
+    ("date_id", _L),
+    ("n", _L),
+    ("n_values", _L),
+    ("total", VALUE),
+    ("low", VALUE),
+    ("high", VALUE),
+    ("squares", _D),
+    ("last_fact_id", _L),
+    ("load_id", _S),
+)
 # One row per committed load: writing it is what makes the load visible.
 LOADS = _schema(("load_id", _S), ("committed_at", _TS))
 # Which earlier load of a file a load replaces, once it is committed itself.

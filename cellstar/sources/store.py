@@ -23,6 +23,7 @@ TABLES: dict[str, StructType] = {
     "dim_indicator": schemas.DIM_INDICATOR,
     "dim_location": schemas.DIM_LOCATION,
     "facts": schemas.FACT,
+    "fact_sums": schemas.FACT_SUMS,
     "loads": schemas.LOADS,
     "superseded": schemas.SUPERSEDED,
     "file_loads": schemas.FILE_LOADS,
@@ -34,7 +35,7 @@ TABLES: dict[str, StructType] = {
     "quality_rules": schemas.QUALITY_RULES,
 }
 # Large tables are laid out by load, so a stage reads only what it was given.
-BY_LOAD = {"grid", "long", "facts", "run_states"}
+BY_LOAD = {"grid", "long", "facts", "fact_sums", "run_states"}
 
 
 def local_rows(spark: SparkSession, schema: StructType, records: list[dict]) -> DataFrame:

@@ -11,6 +11,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cellstar.plans import book
 from cellstar.session import written_once
 
 AS_OF = datetime(2024, 1, 31)
@@ -43,6 +44,13 @@ class Inputs:
             "l_partkey",
         )
 
+    @property
+    def fact_sums(self) -> DataFrame:
+        """What loads store of the facts, each line number being a file: a table of its own."""
+        facts = self.facts.withColumn("source_file", F.col("l_linenumber").cast("string"))
+        sums = book.fact_states(facts, "source_file", "indicator_id", "date_id")
+        return written_once(f"sums-{hashlib.md5(self.folder.encode()).hexdigest()}", sums)
+
     @property
     def indicators(self) -> DataFrame:
         nation = self.table("nation")

@@ -258,6 +258,8 @@ _ON_INPUTS: dict[str, Callable[[Inputs], DataFrame]] = {
     "latest_period": lambda i: book.latest_period(i.facts, i.indicators, i.dates),
     "indicator_summary": lambda i: book.indicator_summary(i.facts, i.indicators, i.dates),
     "monthly_summary": lambda i: book.monthly_summary(i.facts, i.indicators, i.dates),
+    "stored_indicator_summary": lambda i: book.indicator_summary_of(i.fact_sums, i.indicators, i.dates),
+    "stored_monthly_summary": lambda i: book.monthly_summary_of(i.fact_sums, i.indicators, i.dates),
     "indicator_search": lambda i: lookup.indicators(i.facts, i.indicators, i.dates, **SEARCH),
     "metadata_totals": lambda i: lookup.metadata_totals(i.facts, i.indicators_with_planned),
     "indicator_metadata": lambda i: lookup.indicator_metadata(i.facts, i.indicators_with_planned, i.dates),

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from cellstar.plans import monitoring, pipeline, quality, runs
+from cellstar.plans import book, catalog, monitoring, pipeline, quality, runs
 from cellstar.plans.runs import Run
 from cellstar.sources import files
 from cellstar.sources.store import Store
@@ -95,6 +95,47 @@ def test_load_twice_is_load_once_and_changes_replace(spark, tmp_path, folder):
     assert {r.target_column for r in lineage.collect()} == {"indicator", "year_label", "value"}
 
 
+def test_summaries_are_kept_by_loads(spark, tmp_path, folder, monkeypatch):
+    """Equal to a full recompute after a replaced file, a forced load, a dead one; no fact is read for them."""
+    store = Store(spark, str(tmp_path / "out"))
+
+    def check():
+        indicators, dates, live = store.read("dim_indicator"), store.read("dim_date"), store.live("facts")
+        catalog.register(store)
+        for name, full in (("indicator_summary", book.indicator_summary), ("monthly_summary", book.monthly_summary)):
+            view = spark.table(name)
+            want = full(live, indicators, dates).select(*view.columns)
+            assert sorted(map(str, view.collect())) == sorted(map(str, want.collect()))
+            assert not [f for f in view.inputFiles() if "/facts/" in f]
+        kept = store.live_loads().agg(F.sum("fact_count"), F.max("max_fact_id")).first()
+        assert tuple(kept) == tuple(live.agg(F.count("*"), F.max("fact_id")).first())
+        return {r.indicator_name: (r.total_measurements, r.std_dev) for r in spark.table("indicator_summary").collect()}
+
+    pipeline.run(store, str(folder))
+    assert check() == {"Beds": (4, 598.34), "Nurses": (1, None)}
+    write_workbook(folder / "b.xlsx", {"south": sheet(["Doctors", 9, None], ["beds", 7, 7])})
+    with monkeypatch.context() as patch:
+        patch.setattr(pipeline, "publish", lost)
+        with pytest.raises(OSError):
+            pipeline.run(store, str(folder), load_id="second")
+    assert check() == {"Beds": (4, 598.34), "Nurses": (1, None)}
+    pipeline.run(store, str(folder), load_id="second")
+    assert check()["Doctors"] == (1, None)
+    pipeline.run(store, str(folder), force=True)
+    assert check()["Beds"][0] == 4
+
+
+def test_states_keep_the_digits_of_values_far_from_zero(spark):
+    rows = [(k, k % 7, 1, float(10**9 + k % 5) / 1000) for k in range(1000)]
+    facts = spark.createDataFrame(rows, "fact_id long, date_id long, indicator_id long, value double")
+    facts = facts.withColumn("value", F.col("value").cast("decimal(38,6)"))
+    states = book.fact_states(facts, "indicator_id", "date_id")
+    got = book.merged_states(states, "indicator_id").first()
+    want = facts.agg(F.var_pop(F.col("value").cast("double")) * F.count("*")).first()[0]
+    assert got.n == 1000 and got.squares == pytest.approx(want, rel=1e-6)
+    assert book.merged_states(states.limit(0), "indicator_id").collect() == []
+
+
 def test_a_bad_file_is_reported_and_the_rest_goes_on(spark, tmp_path, folder):
     (folder / "bad.xlsx").write_bytes(b"junk")
     store = Store(spark, str(tmp_path / "out"))

@@ -1,11 +1,11 @@
 """Mixing sources to target weights, in shards that each hold an exact share of every source.
 
-A source's documents are put in a fixed order by the MD5 of their ids and cut into 4096 blocks of
-that order. Its target becomes whole passes over the source and a last pass over its first blocks.
+A source's documents are put in a fixed order by the MD5 of their ids (of their texts, where they have
+none) and cut into 4096 blocks of that order. Its target becomes whole passes over the source and a last pass over its first blocks.
 The block quotas of all sources are then split among the output shards by a tree: at each node the
 blocks that go left are one multivariate hypergeometric draw from the node's quotas, so that every
 shard gets its exact number of blocks and every source gives exactly its quota. Each shard draws its
-blocks from its own stretch of a rotated block order, and its rows get a random local order.
+blocks from its own stretch of a permuted block order, new for each pass, and its rows get a random local order.
 """
 
 from __future__ import annotations
@@ -14,13 +14,14 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellstar.llm.shared import WORD
+from cellstar.llm.shared import WORD, by_place, staged
 
 BLOCKS = 4096
-#: Words that a shard should hold; there are as many shards as that takes, up to one per block.
+#: Words that a shard should hold; there are as many shards as that takes.
 SHARD_WORDS = 2_000_000
 WEIGHTS = (5, 2, 1)
 
@@ -89,12 +90,13 @@ def _hypergeometric(pick: np.random.Generator, good: int, bad: int, draws: int)
     return int(pick.hypergeometric(good, bad, draws)) if bad else draws
 
 
-def _block(doc_id: Column) -> Column:
-    return F.conv(F.substring(_key(doc_id), 1, 3), 16, 10).cast("int")
+def _key(doc_id: Column, text: Column) -> Column:
+    """What a document's place in its source goes by: its id, or its text where it has none."""
+    return F.md5(F.coalesce(doc_id.cast("string"), text, F.lit("")))
 
 
-def _key(doc_id: Column) -> Column:
-    return F.md5(F.coalesce(doc_id.cast("string"), F.lit("")))
+def _block(key: Column) -> Column:
+    return F.conv(F.substring(key, 1, 3), 16, 10).cast("int")
 
 
 def mix(
@@ -108,59 +110,78 @@ def mix(
     document at its end gives just the words still due, so that a source gives floor(target) words;
     without, it is drawn whole if at least half of it is due. Null and blank texts have no words and
     nothing to give. Repeated rows are documents of their own; those equal in id, words and text may
-    stand for each other. Null is a source like any other. A column ``name`` is replaced.
+    stand for each other. Null is a source like any other. A column ``name`` is replaced; others may have any name.
 
-    Without ``shards`` their number grows with the targets, at SHARD_WORDS words each, up to BLOCKS.
+    Without ``shards`` their number grows with the targets, at SHARD_WORDS words each. Beyond BLOCKS shards
+    each of the tree's is dealt by a hash over equally many (so their number may be rounded up).
     The recipe (a row per source) passes through the driver; documents and blocks do not.
     """
-    text, doc_id, source = (F.col(f"`{c}`") for c in (text_column, id_column, source_column))
     docs = docs.drop(name)
-    sized = docs.select(source.alias("source"), _block(doc_id).alias("block"), words(text).alias("size"))
-    blocks = sized.groupBy("source", "block").agg(F.sum("size").alias("size"))
-    recipe = _recipe(blocks, shards, seed, weights, share, most)
+    rows = by_place(docs)
+    doc_id, text, source = (F.col(f"c{docs.columns.index(c)}") for c in (id_column, text_column, source_column))
+    key = _key(doc_id, text)
+    placed = rows.select("*", source.alias("of"), key.alias("key"), _block(key).alias("block"))
+    recipe, parts = _recipe(placed, text, shards, seed, weights, share, most)
     plan = docs.sparkSession.createDataFrame(recipe, _RECIPE)
-    plan = plan.select(*[F.col(c).alias(f"__{c}") for c in plan.columns])
-    placed = docs.select("*", _block(doc_id).alias("__block")).join(plan, source.eqNullSafe(F.col("__source")))
-    # Only the block in which the last pass ends needs an order among its documents.
-    at_end = F.col("__block") == F.col("__end")
-    whole = placed.where(~at_end).withColumn("__size", words(text)).withColumn(
-        "__extra", F.when(F.col("__block") < F.col("__end"), F.col("__size")).otherwise(F.lit(0).cast("long"))
-    )
-    last = placed.where(at_end).withColumn("__size", words(text))
-    order = Window.partitionBy("__source").orderBy(_key(doc_id), "__size", F.xxhash64(text))
-    before = F.coalesce(F.sum("__size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    due = F.greatest(F.lit(0).cast("long"), F.least("__size", F.col("__due") - before))
+    joined = placed.join(plan, F.col("of").eqNullSafe(F.col("source"))).withColumn("size", words(text))
+    at_end = F.coalesce((F.col("block") == F.col("end")) & (_place(text) == F.col("stop")), F.lit(False))
+    rest = joined.withColumn("copy", F.lit(0).cast("long"))
+    if max(recipe["copies"].to_pylist(), default=0) > 1:
+        tied = at_end & (F.col("copies") > 1)
+        numbered = _numbered(joined.where(tied).select(*placed.columns))
+        numbered = numbered.join(plan, F.col("of").eqNullSafe(F.col("source"))).withColumn("size", words(text))
+        rest = rest.where(~tied).unionByName(numbered)
+    due = F.greatest(F.lit(0).cast("long"), F.least("size", F.col("due") - F.col("copy") * F.col("size")))
     if not cut:
-        due = F.when(due * 2 >= F.col("__size"), F.col("__size")).otherwise(F.lit(0).cast("long"))
-    last = last.withColumn("__extra", due)
-    rows = whole.unionByName(last)
-
-    def draw(turn: int, taken: Column, count: Column) -> Column:
-        place = F.col("__starts")[turn] + F.pmod(F.col("__block") + F.col("__turns")[turn], F.greatest(count, F.lit(1)))
-        shard = F.size(F.filter(F.col("__ends"), lambda e: e <= place))
+        due = F.when(due * 2 >= F.col("size"), F.col("size")).otherwise(F.lit(0).cast("long"))
+    before = (F.col("block") < F.col("end")) | (F.col("block") == F.col("end")) & (_place(text) < F.col("stop"))
+    extra = F.when(before, F.col("size")).when(at_end, due).otherwise(F.lit(0).cast("long"))
+    given = rest.withColumn("extra", extra)
+
+    def draw(turn: int, taken: Column) -> Column:
+        shard = F.get(F.get("shards", F.lit(turn)), F.col("block")).cast("int")
+        if parts > 1:
+            shard = shard * parts + F.pmod(F.xxhash64(F.lit(seed), F.lit(turn), "key"), F.lit(parts)).cast("int")
         return F.when(taken > 0, F.struct(F.lit(turn).alias("pass"), shard.alias("shard"), taken.alias("words")))
 
     passes = [
-        draw(t, F.when(F.col("__passes") > t, F.col("__size")).when(F.col("__passes") == t, F.col("__extra")),
-             F.when(F.col("__passes") > t, F.lit(BLOCKS)).otherwise(F.col("__end") + 1))
+        draw(t, F.when(F.col("passes") > t, F.col("size")).when(F.col("passes") == t, F.col("extra")))
         for t in range(int(np.ceil(most)) + 1)
     ]
-    taken = F.col("__passes") * F.col("__size") + F.col("__extra")
-    mixed = F.struct(
-        F.col("__size").alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"),
-        taken.alias("taken"), F.array_compact(F.array(*passes)).alias("draws"),
-    )
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns], mixed.alias(name))
+    taken = F.col("passes") * F.col("size") + F.col("extra")
+    mixed = F.struct("size", "source_size", "target", taken.alias("taken"), F.array_compact(F.array(*passes)).alias("draws"))
+    return given.select(*rows.columns, mixed).toDF(*docs.columns, name)
+
+
+def _place(text: Column) -> Column:
+    """A document's place in its source; ``key`` and ``size`` are columns of its row."""
+    return F.struct("key", "size", F.xxhash64(text).alias("mark"))
+
+
+def _numbered(tied: DataFrame) -> DataFrame:
+    """``tied`` with the number of each row among those of its source (copy), counted over partitions of a written table."""
+    rows = staged(tied.withColumn("node", F.monotonically_increasing_id())).withColumn("part", F.shiftright("node", 33))
+    counts = rows.groupBy("of", "part").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("of").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(F.col("of").alias("s"), F.col("part").alias("p"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ahead"))
+    own = F.row_number().over(Window.partitionBy("of", "part").orderBy("node")) - 1
+    rows = rows.withColumn("own", own).join(counts, F.col("of").eqNullSafe(F.col("s")) & (F.col("part") == F.col("p")))
+    return rows.select(*tied.columns, (F.col("own") + F.col("ahead")).alias("copy"))
 
 
 _RECIPE = (
     "source string, source_size long, target double, passes long, due long, end int, "
-    "starts array<int>, turns array<int>, ends array<int>"
+    "stop struct<key: string, size: long, mark: long>, copies long, shards array<array<smallint>>"
 )
 
 
-def _recipe(blocks: DataFrame, shards: int | None, seed: int, weights: Sequence[int], share: float, most: float) -> pa.Table:
-    """A row per source: passes, where the last one ends, and which stretch of its blocks each shard draws."""
+def _recipe(
+    placed: DataFrame, text: Column, shards: int | None, seed: int, weights: Sequence[int], share: float, most: float
+) -> tuple[pa.Table, int]:
+    """A row per source: passes, the document at which the last one ends, and which shard draws each block; and
+    over how many shards each of these is dealt."""
+    sized = placed.select(F.col("of").alias("source"), "block", words(text).alias("size"))
+    blocks = sized.groupBy("source", "block").agg(F.sum("size").alias("size"))
     sizes = blocks.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sizes, weights, share, most)
     want = F.floor("target")
@@ -176,18 +197,41 @@ def _recipe(blocks: DataFrame, shards: int | None, seed: int, weights: Sequence[
         (F.col("due") - F.coalesce("before", F.lit(0))).cast("long").alias("due"), F.coalesce("end", F.lit(-1)).alias("end"),
     )
     table = rows.toArrow().sort_by("source")  # a row per source
+    table = _stops(table, placed, text)
     passes, ends = (np.array(table[c].to_pylist(), np.int64) for c in ("passes", "end"))
     quotas = passes * BLOCKS + ends + 1
     if shards is None:
-        total = sum(float(t) for t in table["target"].to_pylist())
-        shards = min(BLOCKS, max(1, int(np.ceil(total / SHARD_WORDS))))
+        shards = int(np.ceil(sum(float(t) for t in table["target"].to_pylist()) / SHARD_WORDS))
+    parts = max(1, -(-shards // BLOCKS))
+    cuts = np.cumsum(split_quotas(quotas, max(1, -(-shards // parts)), seed), axis=0)[:-1].T
     pick = np.random.default_rng(seed + 1)
-    turns = [[int(x) for x in pick.integers(0, BLOCKS, int(p) + 1)] + [0] * (int(np.ceil(most)) - int(p)) for p in passes]
-    starts = [[t * BLOCKS for t in range(int(np.ceil(most)) + 1)]] * len(table)
-    cuts = np.cumsum(split_quotas(quotas, shards, seed), axis=0)[:-1].T
-    for name, values in (("starts", starts), ("turns", turns), ("ends", [list(map(int, c)) for c in cuts])):
-        table = table.append_column(name, pa.array(values, pa.list_(pa.int32())))
-    return table
+    # In each pass a source's blocks are drawn in an order of their own; a shard draws its stretch of them.
+    drawn = [
+        [np.searchsorted(c, t * BLOCKS + pick.permutation(BLOCKS if t < p else int(e) + 1), "right").tolist() for t in range(int(p) + 1)]
+        for p, e, c in zip(passes, ends, cuts, strict=True)
+    ]
+    return table.append_column("shards", pa.array(drawn, pa.list_(pa.list_(pa.int16())))), parts
+
+
+def _stops(table: pa.Table, placed: DataFrame, text: Column) -> pa.Table:
+    """The recipe with the place of the document in which the last pass ends, the words due from there, and its copies.
+
+    Only the end's block is read for it, and only places are sorted, equal ones as one row.
+    """
+    ends = placed.sparkSession.createDataFrame(
+        table.select(["source", "due", "end"]).filter(pa.compute.greater(table["due"], 0)), "source string, due long, end int"
+    )
+    there = placed.join(ends, F.col("of").eqNullSafe(F.col("source")) & (F.col("block") == F.col("end")))
+    places = there.withColumn("size", words(text)).groupBy("source", "due", _place(text).alias("stop")).agg(F.count("*").alias("copies"))
+    own = F.col("stop.size") * F.col("copies")
+    upto = F.sum(own).over(Window.partitionBy("source").orderBy("stop").rowsBetween(Window.unboundedPreceding, 0))
+    found = places.withColumn("left", F.col("due") - (upto - own)).where((F.col("left") > 0) & (F.col("left") <= own))
+    by_source = {r["source"]: r for r in found.select("source", "left", "stop", "copies").collect()}  # a row per source
+    rows = [by_source.get(s) for s in table["source"].to_pylist()]
+    kind = pa.struct([("key", pa.string()), ("size", pa.int64()), ("mark", pa.int64())])
+    table = table.set_column(table.schema.get_field_index("due"), "due", pa.array([r["left"] if r else 0 for r in rows], pa.int64()))
+    table = table.append_column("stop", pa.array([r["stop"].asDict() if r else None for r in rows], kind))
+    return table.append_column("copies", pa.array([r["copies"] if r else 0 for r in rows], pa.int64()))
 
 
 def shard_rows(mixed: DataFrame, seed: int = 7, prefix: str = "", name: str = "mixed") -> DataFrame:
@@ -206,7 +250,7 @@ def shard_rows(mixed: DataFrame, seed: int = 7, prefix: str = "", name: str = "m
 ORACLE = r"""
     with sized as (
         select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size,
-               md5(coalesce(doc_id::varchar, '')) as k
+               md5(coalesce(doc_id::varchar, text, '')) as k
         from documents
     ), totals as (
         select source, sum(size)::bigint as source_size, row_number() over (order by source nulls last) as place

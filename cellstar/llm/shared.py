@@ -32,6 +32,11 @@ def staged(rows: DataFrame) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def by_place(rows: DataFrame) -> DataFrame:
+    """``rows`` with columns c0, c1, ...: no name of theirs, also one with a dot, can clash or be misread then."""
+    return rows.toDF(*[f"c{k}" for k in range(len(rows.columns))])
+
+
 def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component) of every node with a link to another; the component is its smallest node.
 

@@ -3,6 +3,7 @@ import random
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cellstar.llm import mixing
 
@@ -53,6 +54,41 @@ def test_shards_hold_each_draw_once(spark, cut):
     assert set(out.columns) == {"doc_id", "text", "source", "size", "pass", "shard", "words"}
 
 
+def test_blocks_are_permuted_anew_in_each_pass(spark):
+    docs = spark.createDataFrame([(i, "a b c", "s", "", "") for i in range(6000)], SCHEMA)
+    drawn = {}
+    for seed in (1, 2):
+        rows = mixing.mix(docs, shards=8, seed=seed).select("doc_id", mixing._block(mixing._key(F.col("doc_id"), F.col("text"))).alias("b"), "mixed.draws")
+        places = {(d["pass"], r.b): d.shard for r in rows.collect() for d in r.draws}
+        assert places == {(d["pass"], r.b): d.shard for r in rows.collect() for d in r.draws}
+        drawn[seed] = places
+        near = [places[0, b] == places[0, b + 1] for p, b in places if p == 0 and (0, b + 1) in places]
+        assert len(near) > 1500 and np.mean(near) < 0.25  # by chance: an eighth
+        both = [places[0, b] == places[1, b] for p, b in places if p == 1]
+        assert len(both) > 500 and np.mean(both) < 0.25
+        per_shard = [len({k for k, s in places.items() if s == n and k[0] == 0}) for n in range(8)]
+        assert sum(per_shard) == len({b for p, b in places if p == 0})
+    assert np.mean([drawn[1][k] == drawn[2][k] for k in drawn[1].keys() & drawn[2].keys()]) < 0.25
+
+
+@pytest.mark.parametrize("cut", [True, False])
+def test_the_last_pass_ends_among_copies(spark, cut):
+    same = [(None, "one two three", "hot", "", "")] * 900 + [(7, "x y", "b", "", "")] * 500 + [(i, "w " * i, "b", "", "") for i in range(40)]
+    docs = spark.createDataFrame(same, SCHEMA).repartition(7)
+    mixed = mixing.mix(docs, cut=cut).select("source", "mixed.*").collect()
+    assert len(mixed) == len(same)
+    for source in ("hot", "b"):
+        own = [r for r in mixed if r.source == source]
+        assert abs(sum(r.taken for r in own) - own[0].target) < (1 if cut else 40)
+        assert all(r.taken <= 2 * r["size"] for r in own)
+
+
+def test_more_shards_than_blocks(spark):
+    docs = spark.createDataFrame([(i, "a b", "s", "", "") for i in range(9000)], SCHEMA)
+    shards = [d.shard for r in mixing.mix(docs, shards=8192).select("mixed.draws").collect() for d in r.draws]
+    assert max(shards) < 8192 and len(set(shards)) > 5000
+
+
 def test_tree_is_exact_and_unbiased():
     quotas = [5000, 3, 0, 700, 1]
     total = np.zeros((7, 5))

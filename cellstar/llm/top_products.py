@@ -11,6 +11,8 @@ products.
 
 from __future__ import annotations
 
+from operator import mul
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -23,17 +25,25 @@ from cellstar.llm.vectors import matrix, numbered, usable
 BUCKET, BLOCK = 4096, 1024
 #: Steps of length to a doubling; cosine bound from which coordinates prune, and how many of them.
 STEPS, COORDINATES_FROM, COORDINATES = 16, 0.6, 4
-_NONE = -(2**62)
+_NONE = -(2**63)
+#: Up to this sum of absolute products a score is added up in longs.
+SAFE = 2**62
 
 
 def products(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """Integer inner products: in floating point where that is exact."""
-    bound = float(np.abs(queries).max(initial=0)) * float(np.abs(vectors).max(initial=0)) * vectors.shape[1]
-    if bound >= 2**62:
-        raise ValueError("components too large for a long score")
+    """Integer inner products: in floating point where that is exact; beyond a long, the long nearest to them."""
+    bound = float(np.abs(queries.astype(np.float64)).max(initial=0)) * float(np.abs(vectors.astype(np.float64)).max(initial=0))
+    bound *= vectors.shape[1]
     if bound < 2**53:
         return (queries.astype(np.float64) @ vectors.astype(np.float64).T).astype(np.int64)
-    return queries @ vectors.T
+    out = queries @ vectors.T  # wraps around, and is right wherever the sum itself is a long
+    if bound >= SAFE:
+        # The sum of absolute products bounds the score; only pairs for which that may be too much are added up again.
+        most = np.abs(queries.astype(np.float64)) @ np.abs(vectors.astype(np.float64)).T
+        for q, v in zip(*np.nonzero(most >= SAFE), strict=True):
+            score = sum(map(mul, queries[q].tolist(), vectors[v].tolist()))
+            out[q, v] = min(max(score, -(2**63)), 2**63 - 1)
+    return out
 
 
 def best_of_bucket(
@@ -123,7 +133,8 @@ def top_k(
 
     Components become floor(scale * x). Ties go to the smaller id, null last. Vectors that are null, empty
     or hold a null or non-finite component take no part; vectors of different lengths do not meet.
-    Repeated rows are candidates (and queries) of their own.
+    Repeated rows are candidates (and queries) of their own. A component or score beyond a long counts as the
+    long nearest to it.
     """
     doubles = F.col(f"`{vector_column}`").cast("array<double>")
     rows = table.select(F.col(f"`{id_column}`").cast("long").alias("id"), doubles.alias("x")).where(usable(F.col("x")))

@@ -85,6 +85,20 @@ def test_coordinate_pruning_is_exact():
     assert sorted((q, v) for q, v, _ in found) == sorted(zip(*map(np.ndarray.tolist, np.nonzero(scores >= least[:, None])), strict=True))
 
 
+def test_scores_near_and_beyond_a_long(spark):
+    def at(*parts):
+        return [float(dict(parts).get(i, 0)) for i in range(64)]
+
+    huge = [(20, at((0, 2**28))), (40, at((63, 2**28))), (60, at((0, 2**26), (1, 2**26))), (80, at((0, -(2**60)), (2, 2**60))), (3, at((5, 1.5)))]
+    whole = {i: [min(max(int(np.floor(64 * x)), -(2**63)), 2**63 - 1) for x in v] for i, v in huge}
+    want = []
+    for q in (20, 40, 60, 80):
+        scored = [(-min(max(sum(x * y for x, y in zip(whole[q], whole[i], strict=True)), -(2**63)), 2**63 - 1), i) for i in whole if i != q]
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(sorted(scored))]
+    table = spark.createDataFrame([(*r, 1, "", "") for r in huge], SCHEMA)
+    assert sorted(map(tuple, top_products.top_k(table).collect())) == sorted(want)
+
+
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert near_vectors.near_duplicates(empty).collect() == [] == top_products.top_k(empty).collect()

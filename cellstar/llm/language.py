@@ -17,8 +17,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from cellstar.llm.shared import slices, staged
+from cellstar.llm.shared import by_place, slices, staged
 
 PLACES = 1 << 14
 #: Labelled documents the classifier is fitted on: in all, and of one language.
@@ -212,22 +213,23 @@ def predict(docs: DataFrame, model: Model, text_column: str = "text", prefix: st
 
     ``prefix`` goes before the names of the added columns.
 
-    A null, empty or letterless text is ``und`` with score 0. Repeated rows stay, each judged alike.
+    A null, empty or letterless text is ``und`` with score 0. Repeated rows stay, each judged alike. Other
+    columns may have any name.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = [f"{prefix}lang_pred", f"{prefix}score"]
     docs = docs.drop(*names)
-    place = docs.columns.index(text_column)
+    rows, place = by_place(docs), docs.columns.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in slices(batches):
             found = [known.predict(t) for t in batch.column(place).to_pylist()]
             columns = [pa.array([f[i] for f in found], t) for i, t in enumerate((pa.string(), pa.float64()))]
-            yield pa.record_batch([*batch.columns, *columns], names=[*batch.schema.names, *names])
+            yield pa.record_batch([*batch.columns, *columns], names=[*batch.schema.names, "pred", "score"])
 
-    schema = docs.limit(0).withColumn(names[0], F.lit("")).withColumn(names[1], F.lit(0.0)).schema
-    return docs.mapInArrow(run, schema)
+    schema = StructType([*rows.schema.fields, StructField("pred", StringType()), StructField("score", DoubleType())])
+    return rows.mapInArrow(run, schema).toDF(*docs.columns, *names)
 
 
 def identify(

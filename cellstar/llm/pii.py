@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellstar.llm.shared import slices
+from cellstar.llm.shared import by_place, slices
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("other", *KINDS)
@@ -378,9 +378,9 @@ def masked(text: str, spans: list[Span]) -> str:
 
 
 def redact(docs: DataFrame, field: Field, text_column: str = "text") -> DataFrame:
-    """``docs`` with every span in the text replaced by its kind; all other columns as they are, null stays null."""
+    """``docs`` with every span in the text replaced by its kind; all other columns as they are, whatever their names; null stays null."""
     shared = docs.sparkSession.sparkContext.broadcast(field)
-    place = docs.columns.index(text_column)
+    rows, place = by_place(docs), docs.columns.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -393,4 +393,4 @@ def redact(docs: DataFrame, field: Field, text_column: str = "text") -> DataFram
             columns[place] = pa.array(texts, pa.string())
             yield pa.record_batch(columns, names=batch.schema.names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return rows.mapInArrow(run, rows.schema).toDF(*docs.columns)

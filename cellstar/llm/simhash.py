@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellstar.llm.shared import connected_components, slices, staged
+from cellstar.llm.shared import by_place, connected_components, slices, staged
 
 BITS = 64
 SEED = 42
@@ -285,14 +285,15 @@ def one_of_each(
 ) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the one of smallest id (null last), then fingerprint.
 
-    Of rows equal in both, any one stays.
+    Of rows equal in both, any one stays. Other columns may have any name.
     """
     rows = near_duplicates(docs, shingle, radius, id_column, text_column)
-    first = F.min(F.struct(F.col("id").isNull().alias("last"), F.col("id").alias("__id"), F.col("fp").alias("__fp")))
-    kept = rows.groupBy("root").agg(first.alias("f")).select("f.__id", "f.__fp")
-    marked = fingerprinted(docs, shingle, "__print", text_column)
-    same = F.col(f"`{id_column}`").eqNullSafe(F.col("__id")) & (F.col("__print") == F.col("__fp"))
-    return marked.join(kept, same, "left_semi").dropDuplicates([id_column, "__print"]).drop("__print")
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "fp"))
+    kept = rows.groupBy("root").agg(first.alias("f")).select("f.id", "f.fp")
+    doc_id, text = (f"c{docs.columns.index(c)}" for c in (id_column, text_column))
+    marked = fingerprinted(by_place(docs), shingle, "print", text)
+    same = F.col(doc_id).eqNullSafe(F.col("id")) & (F.col("print") == F.col("fp"))
+    return marked.join(kept, same, "left_semi").dropDuplicates([doc_id, "print"]).drop("print").toDF(*docs.columns)
 
 
 def hex_print(fp: Column) -> Column:

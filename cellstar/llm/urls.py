@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cellstar.llm.shared import by_place
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 HOST_AND_PATH = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 #: Site rules of the query: (verdict, host, path).
@@ -106,11 +108,13 @@ def judge(
     The longest site rule decides; without one, a matching pattern blocks unless an exception matches,
     and everything else is allowed. A null or empty url, or one without ``://``, has empty host and path
     and no site rule; a null url is allowed. Repeated rows stay and are judged alike. Columns of the
-    input that have one of the added names are replaced.
+    input that have one of the added names are replaced; others may have any name.
     """
     added = ("host", "path", "rule", "verdict", "pattern")
-    rest = [F.col(f"`{c}`") for c in pages.columns if c not in added]
-    named = pages.select(*rest, F.col(f"`{url_column}`").alias("__url"))
+    names = [c for c in pages.columns if c not in added]
+    rows = by_place(pages)
+    rest = [F.col(f"c{k}") for k, c in enumerate(pages.columns) if c not in added]
+    named = rows.select(*rest, F.col(f"c{pages.columns.index(url_column)}").alias("__url"))
     hits = matched_patterns(named.select(F.col("__url").alias("url")), patterns)
     hits = hits.select(F.col("url").alias("__hit"), F.col("blocked").alias("__blocked"), F.col("pattern").alias("__pattern"))
     joined = named.join(hits, F.col("__url") == F.col("__hit"), "left")
@@ -119,7 +123,7 @@ def judge(
     return joined.select(
         *rest, host(F.col("__url")).alias("host"), path(F.col("__url")).alias("path"), rule["rule"].alias("rule"),
         F.coalesce(rule["verdict"], by_pattern).alias("verdict"), F.col("__pattern").alias("pattern"),
-    )
+    ).toDF(*names, *added)
 
 
 def oracle() -> str:

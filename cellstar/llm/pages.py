@@ -9,8 +9,9 @@ frame's tokens are its slots. Text of the frame, and text that comes with each o
 element, is left out on all pages, within an article too, unless it is most of what the articles (or
 the element) hold: then they are copies. Slots whose enclosing elements are menus,
 notices and the like are left out. An article (or main) element is evidence for the main slot: it is the
-text unless far more words stand in other slots. Elsewhere all slots of the page are, but for lists of
-links and, outside the template's largest slot, text that is on all pages but for one number in it.
+text unless far more words stand in other slots. Elsewhere all slots of the page are, but for blocks that
+are nothing but several links and, outside the template's largest slot, blocks that are mostly links and
+text that is on all pages but for one number in it.
 A name that an article's own section may have (legal, related) counts only where little prose is
 under it. A page without company has only its own elements.
 """
@@ -21,7 +22,6 @@ import html
 import re
 from collections import Counter, defaultdict
 from dataclasses import dataclass
-from itertools import takewhile
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -75,21 +75,48 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.IGNORECASE)
 
 
+class Paths:
+    """Structural elements by number, each with its parent: equal paths of labels have one number. 0 is the page."""
+
+    def __init__(self) -> None:
+        self.known: dict[tuple[int, str], int] = {}
+        self.parent, self.name, self.within = [0], [""], [False]
+
+    def child(self, parent: int, name: str, label: str) -> int:
+        number = self.known.setdefault((parent, label), len(self.parent))
+        if number == len(self.parent):
+            self.parent.append(parent)
+            self.name.append(name)
+            # Whether it stands in an article.
+            self.within.append(self.within[parent] or self.name[parent] in ("article", "main"))
+        return number
+
+    def slots(self, tags: set[tuple[int, str]]) -> list[int]:
+        """Of each path its innermost element up to which all are among the tags (all elements if there are none)."""
+        slots, whole = [0], [True]
+        for path in range(1, len(self.parent)):  # parents have smaller numbers
+            above = self.parent[path]
+            whole.append(whole[above] and (not tags or (path, self.name[path]) in tags))
+            slots.append(path if whole[path] else slots[above])
+        return slots
+
+
 @dataclass
 class Block:
     """A run of text between block-level tags."""
 
     text: str
     link_words: int
-    path: tuple[str, ...]
+    only_links: bool  # several links and no word beside them
+    path: int
     unwanted: bool
     article: bool
     doubt: int  # the doubtful element of an article around it, 0 for none
 
 
-def _unwanted(name: str, attrs: str, inside: list[str]) -> tuple[bool, bool]:
+def _unwanted(name: str, attrs: str, in_article: bool) -> tuple[bool, bool]:
     """(whether an element is left out, whether only if it holds no prose)."""
-    if name in BOILERPLATE or name == "header" and "article" not in inside and "main" not in inside:
+    if name in BOILERPLATE or name == "header" and not in_article:
         return True, False
     if not attrs or name in ("html", "body", "article", "main"):
         return False, False
@@ -99,37 +126,41 @@ def _unwanted(name: str, attrs: str, inside: list[str]) -> tuple[bool, bool]:
         if key.lower() == "hidden" or key.lower() == "aria-hidden" and value.lower() == "true":
             return True, False
         if _ROLE.search(value):
-            if not ("article" in inside or "main" in inside) or _ROLE.search(_DOUBTFUL.sub("", value)):
+            if not in_article or _ROLE.search(_DOUBTFUL.sub("", value)):
                 return True, False
             doubt = True
     return False, doubt
 
 
-def parse(page: str) -> tuple[list[tuple], list[Block]]:
+def parse(page: str, paths: Paths) -> tuple[list[tuple], list[Block]]:
     """(tokens, blocks) of a page. A token is a block-level tag or a block's text, with its structural path."""
     tokens: list[tuple] = []
     blocks: list[Block] = []
-    # Open structural elements: name, label, whether it or one around it is left out, whether within an article, doubtful element.
-    stack: list[tuple[str, str, bool, bool, int]] = []
+    # Open structural elements: name, path, whether it or one around it is left out, whether within an article, doubtful element.
+    stack: list[tuple[str, int, bool, bool, int]] = [("", 0, False, False, 0)]
+    names: Counter = Counter()
     words: list[str] = []
-    links, in_link = 0, 0
+    outside: list[str] = []
+    links, link_words, in_link = 0, 0, False
 
     def flush() -> None:
-        nonlocal links
+        nonlocal links, link_words
         text = " ".join(html.unescape("".join(words)).split()) if words else ""
         words.clear()
         if text:
-            path = tuple(s[1] for s in stack)
-            unwanted, article, doubt = stack[-1][2:] if stack else (False, False, 0)
-            blocks.append(Block(text, links, path, unwanted, article, doubt))
-            tokens.append((path, text))
-        links = 0
+            only_links = links > 1 and not any(c.isalnum() for c in html.unescape("".join(outside)))
+            blocks.append(Block(text, link_words, only_links, *stack[-1][1:]))
+            tokens.append((stack[-1][1], text))
+        outside.clear()
+        links = link_words = 0
 
     for m in _TOKEN.finditer(page):
         if m["text"] is not None:
             words.append(m["text"])
             if in_link:
-                links += len(m["text"].split())
+                link_words += len(m["text"].split())
+            else:
+                outside.append(m["text"])
             continue
         name = (m["name"] or m["name2"] or "").lower()
         if not name:
@@ -137,29 +168,32 @@ def parse(page: str) -> tuple[list[tuple], list[Block]]:
         closing = bool(m["close"] or m["close2"])
         if name in INLINE:
             if name == "a":
-                in_link = 0 if closing else 1
+                in_link = not closing
+                links += in_link
             elif name == "br":
                 words.append(" ")
             continue
         flush()
-        in_link = 0
+        in_link = False
         if name in STRUCTURE:
-            names = [s[0] for s in stack]
-            if closing:
-                if name in names:
-                    del stack[len(names) - 1 - names[::-1].index(name) :]
+            if closing and names[name]:
+                last = ""
+                while last != name:
+                    last = stack.pop()[0]
+                    names[last] -= 1
             attrs = m["attrs"] or ""
             if not closing and not attrs.endswith("/"):
                 values = " ".join(sorted("".join(a[1:]) for a in _ATTRIBUTE.findall(attrs)))
                 label = f"{name} {re.sub(r'[0-9]+', '9', values)}".rstrip()
-                left_out, doubtful = _unwanted(name, attrs, names)
-                left_out = bool(stack and stack[-1][2]) or left_out
-                doubt = stack and stack[-1][4] or doubtful and len(tokens) + 1 or 0
-                article = bool(stack and stack[-1][3]) or name in ("article", "main") or 'role="main"' in attrs
-                stack.append((name, label, left_out, article, doubt))
-            tokens.append((tuple(s[1] for s in stack), ("/" if closing else "") + name))
+                left_out, doubtful = _unwanted(name, attrs, names["article"] + names["main"] > 0)
+                _, path, around, article, doubt = stack[-1]
+                article = article or name in ("article", "main") or 'role="main"' in attrs
+                doubt = doubt or doubtful and len(tokens) + 1 or 0
+                stack.append((name, paths.child(path, name, label), around or left_out, article, doubt))
+                names[name] += 1
+            tokens.append((stack[-1][1], ("/" if closing else "") + name))
         elif name not in VOID:
-            tokens.append((tuple(s[1] for s in stack), ("/" if closing else "") + name))
+            tokens.append((stack[-1][1], ("/" if closing else "") + name))
     flush()
     return tokens, blocks
 
@@ -223,11 +257,11 @@ def _common_order(members: set, tokens: list[list[tuple]]) -> list:
     return order
 
 
-def clusters(parsed: list[tuple[list[tuple], list[Block]]]) -> list[list[int]]:
+def clusters(parsed: list[tuple[list[tuple], list[Block]]], paths: Paths) -> list[list[int]]:
     """Pages by template: those that share at least half of their structural elements outside articles with the first."""
     out: list[tuple[set, list[int]]] = []
     for page, (tokens, _) in enumerate(parsed):
-        own = {path for path, t in tokens if t in STRUCTURE and not any(p.split(" ")[0] in ("article", "main") for p in path[:-1])}
+        own = {path for path, t in tokens if t in STRUCTURE and not paths.within[path]}
         for elements, members in out:
             if 2 * len(own & elements) >= len(own | elements):
                 members.append(page)
@@ -250,22 +284,23 @@ def _prose(blocks: list[Block]) -> list[Block]:
 
 def extract(pages: list[str]) -> list[str]:
     """Main text of pages of one host, blocks joined by an empty line."""
-    parsed = [parse(p) for p in pages]
+    paths = Paths()
+    parsed = [parse(p, paths) for p in pages]
     out = [""] * len(pages)
-    for members in clusters(parsed):
-        for page, text in zip(members, _texts([parsed[m] for m in members]), strict=True):
+    for members in clusters(parsed, paths):
+        for page, text in zip(members, _texts([parsed[m] for m in members], paths), strict=True):
             out[page] = text
     return out
 
 
-def _texts(parsed: list[tuple[list[tuple], list[Block]]]) -> list[str]:
+def _texts(parsed: list[tuple[list[tuple], list[Block]]], paths: Paths) -> list[str]:
     """Main text of pages of one template."""
     distinct = list({tuple(t): t for t, _ in parsed}.values())
     frame, nested = deduce(distinct) if len(distinct) >= SUPPORT else ([], set())
     fixed = set(frame)
     tags = {t for t in nested if t[1].removeprefix("/") in STRUCTURE} | fixed
     wanted = [_prose(blocks) for _, blocks in parsed]
-    fixed |= _nested_text(wanted, nested, distinct)
+    fixed |= _nested_text(wanted, nested, distinct, paths)
     # Articles that are mostly text of the template are copies of each other, and theirs stays.
     own, shared = (
         sum(len(b.text.split()) for blocks in wanted for b in blocks if b.article and ((b.path, b.text) in fixed) == of_frame)
@@ -274,26 +309,26 @@ def _texts(parsed: list[tuple[list[tuple], list[Block]]]) -> list[str]:
     copies = shared >= own
     mass: Counter = Counter()
     pages_with: dict[tuple, set] = defaultdict(set)
+    # A slot is known by the template's elements around it; others are part of what is in the slot.
+    slot_of = paths.slots(tags)
     kept = []
     for page, blocks in enumerate(wanted):
         slots = []
         for b in blocks:
             if (b.path, b.text) in fixed and not (b.article and copies):
                 continue
-            # A slot is known by the template's elements around it; others are part of what is in the slot.
-            path = tuple(takewhile(lambda p: not tags or p[1] in tags, _elements(b.path)))
-            slot = path[-1][0] if path else ()
+            slot = slot_of[b.path]
             mass[slot] += len(b.text.split()) - b.link_words
             pages_with[slot, _numbered(b.text)].add(page)
             slots.append((slot, b))
         kept.append(slots)
-    main = max(mass, key=lambda s: (mass[s], s), default=None)
+    main = max((s for s in mass if mass[s] > 0), key=lambda s: (mass[s], -s), default=None)
     out = []
     for slots in kept:
         inside = [b for _, b in slots if b.article]
         beside = [
             b for slot, b in slots
-            if not b.article and 2 * b.link_words <= len(b.text.split())
+            if not b.article and not b.only_links and (slot == main or 2 * b.link_words <= len(b.text.split()))
             and (not frame or slot == main or len(pages_with[slot, _numbered(b.text)]) < len(parsed))
         ]
         words = sum(len(b.text.split()) for b in inside), sum(len(b.text.split()) for b in beside)
@@ -303,14 +338,14 @@ def _texts(parsed: list[tuple[list[tuple], list[Block]]]) -> list[str]:
     return out
 
 
-def _nested_text(wanted: list[list[Block]], nested: set, tokens: list[list[tuple]]) -> set:
+def _nested_text(wanted: list[list[Block]], nested: set, tokens: list[list[tuple]], paths: Paths) -> set:
     """Texts that come with each occurrence of a nested element, where other text is most of what it holds."""
     counts: dict[tuple, dict[int, int]] = defaultdict(dict)
     for page, own in enumerate(tokens):
         for t, n in Counter(t for t in own if t in nested).items():
             counts[t][page] = n
     same = {(b.path, b.text) for blocks in wanted for b in blocks if b.path and (b.path, b.text) in nested}
-    same = {t for t in same if counts[t] == counts.get((t[0], t[0][-1].split(" ")[0]))}
+    same = {t for t in same if counts[t] == counts.get((t[0], paths.name[t[0]]))}
     free: Counter = Counter()
     for blocks in wanted:
         for b in blocks:
@@ -324,11 +359,6 @@ def _numbered(text: str) -> str:
     return "9".join(parts) if len(parts) == 2 and any(c.isalpha() for c in text) else text
 
 
-def _elements(path: tuple[str, ...]) -> list[tuple[tuple[str, ...], tuple]]:
-    """Each element of a path with the token that opened it."""
-    return [(path[: k + 1], (path[: k + 1], label.split(" ")[0])) for k, label in enumerate(path)]
-
-
 def main_text(
     pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html"
 ) -> DataFrame:
@@ -350,7 +380,12 @@ def main_text(
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(group: pa.Table) -> pa.Table:
-        texts = extract([h or "" for h in group.column("html").to_pylist()])
+        contents = [h or "" for h in group.column("html").to_pylist()]
+        # In an order of their own, so that reruns agree.
+        order = sorted(range(len(contents)), key=contents.__getitem__)
+        texts = [""] * len(contents)
+        for page, text in zip(order, extract([contents[k] for k in order]), strict=True):
+            texts[page] = text
         return pa.table({
             "id": group.column("id"), "url": group.column("url"), "text": pa.array(texts, pa.string()),
             "n_chars": pa.array(map(len, texts), pa.int64()),

@@ -111,3 +111,26 @@ def test_an_article_in_two_sections():
 
     texts = pages.extract([soup(i, body(i)) for i in range(9)])
     assert texts == [f"{(f'w{i} ' * 80).strip()}\n\n{(f'v{i} ' * 20).strip()}" for i in range(9)]
+
+
+def test_paragraphs_that_are_links_stay_in_the_main_slot():
+    page = (
+        "<body><div class='m'><a href='/'>Home</a> &middot; <a href='/x'>News</a></div><div class='post'><h2>T</h2><p><a href='/y'>whole paragraph</a></p>"
+        "<p>More words than links</p><p><a href='/'>one</a> | <a href='/'>two</a></p></div><ul><li><a href='/z'>Elsewhere</a></li></ul></body>"
+    )
+    assert pages.extract([page]) == ["T\n\nwhole paragraph\n\nMore words than links"]
+    many = [page.replace("More", f"More of {i} {i}") for i in range(5)]
+    assert pages.extract(many) == [f"More of {i} {i} words than links" for i in range(5)]
+
+
+def test_deep_nesting_in_time_and_memory():
+    import time
+    import tracemalloc
+
+    depth = 50_000
+    deep = "<div>" * depth + "<p>inner words</p>" + "</div>" * depth
+    tracemalloc.start()
+    started = time.time()
+    assert pages.extract([deep, deep, deep.replace("inner", "other")]) == ["inner words", "inner words", "other words"]
+    assert time.time() - started < 60 and tracemalloc.get_traced_memory()[1] < 500_000_000
+    tracemalloc.stop()

@@ -10,7 +10,7 @@ element, is left out on all pages, within an article too, unless it is most of w
 the element) hold: then they are copies. Slots whose enclosing elements are menus,
 notices and the like are left out. An article (or main) element is evidence for the main slot: it is the
 text unless far more words stand in other slots. Elsewhere all slots of the page are, but for blocks that
-are nothing but several links and, outside the template's largest slot, blocks that are mostly links and
+are nothing but several links, lists that are mostly links and, outside the template's largest slot, blocks that are mostly links and
 text that is on all pages but for one number in it.
 A name that an article's own section may have (legal, related) counts only where little prose is
 under it. A page without company has only its own elements.
@@ -45,6 +45,7 @@ STRUCTURE = frozenset(
     "html head body nav header footer main article section aside div form fieldset ul ol dl table menu dialog figure "
     "details template title select button textarea label iframe object canvas audio video".split()
 )
+LISTS = frozenset("ul ol dl menu".split())
 #: Elements that never hold the article's own words.
 BOILERPLATE = frozenset(
     "head nav footer aside form menu dialog template title select button textarea label iframe object canvas audio "
@@ -112,6 +113,7 @@ class Block:
     unwanted: bool
     article: bool
     doubt: int  # the doubtful element of an article around it, 0 for none
+    list: int  # the list it stands in, 0 for none
 
 
 def _unwanted(name: str, attrs: str, in_article: bool) -> tuple[bool, bool]:
@@ -136,8 +138,8 @@ def parse(page: str, paths: Paths) -> tuple[list[tuple], list[Block]]:
     """(tokens, blocks) of a page. A token is a block-level tag or a block's text, with its structural path."""
     tokens: list[tuple] = []
     blocks: list[Block] = []
-    # Open structural elements: name, path, whether it or one around it is left out, whether within an article, doubtful element.
-    stack: list[tuple[str, int, bool, bool, int]] = [("", 0, False, False, 0)]
+    # Open structural elements: name, path, whether it or one around it is left out, whether within an article, doubtful element, list.
+    stack: list[tuple[str, int, bool, bool, int, int]] = [("", 0, False, False, 0, 0)]
     names: Counter = Counter()
     words: list[str] = []
     outside: list[str] = []
@@ -186,10 +188,11 @@ def parse(page: str, paths: Paths) -> tuple[list[tuple], list[Block]]:
                 values = " ".join(sorted("".join(a[1:]) for a in _ATTRIBUTE.findall(attrs)))
                 label = f"{name} {re.sub(r'[0-9]+', '9', values)}".rstrip()
                 left_out, doubtful = _unwanted(name, attrs, names["article"] + names["main"] > 0)
-                _, path, around, article, doubt = stack[-1]
+                _, path, around, article, doubt, listed = stack[-1]
                 article = article or name in ("article", "main") or 'role="main"' in attrs
                 doubt = doubt or doubtful and len(tokens) + 1 or 0
-                stack.append((name, paths.child(path, name, label), around or left_out, article, doubt))
+                listed = len(tokens) + 1 if name in LISTS else listed
+                stack.append((name, paths.child(path, name, label), around or left_out, article, doubt, listed))
                 names[name] += 1
             tokens.append((stack[-1][1], ("/" if closing else "") + name))
         elif name not in VOID:
@@ -328,9 +331,11 @@ def _texts(parsed: list[tuple[list[tuple], list[Block]]], paths: Paths) -> list[
         inside = [b for _, b in slots if b.article]
         beside = [
             b for slot, b in slots
-            if not b.article and not b.only_links and (slot == main or 2 * b.link_words <= len(b.text.split()))
+            if not b.article and not b.only_links and (slot == main or b.list or 2 * b.link_words <= len(b.text.split()))
             and (not frame or slot == main or len(pages_with[slot, _numbered(b.text)]) < len(parsed))
         ]
+        menus = _menus(beside)
+        beside = [b for b in beside if b.list not in menus]
         words = sum(len(b.text.split()) for b in inside), sum(len(b.text.split()) for b in beside)
         alone = inside and EVIDENCE * words[0] >= words[1]
         chosen = {id(b) for b in (inside if alone else inside + beside)}
@@ -353,6 +358,14 @@ def _nested_text(wanted: list[list[Block]], nested: set, tokens: list[list[tuple
     return {t for t in same if free[t[0]] > 0}
 
 
+def _menus(blocks: list[Block]) -> set[int]:
+    """The lists that are mostly links."""
+    surplus: Counter = Counter()
+    for b in blocks:
+        surplus[b.list] += 2 * b.link_words - len(b.text.split())
+    return {element for element, n in surplus.items() if element and n > 0}
+
+
 def _numbered(text: str) -> str:
     """The text without its number if it has just one and words beside it."""
     parts = re.split(r"[0-9]+", text)

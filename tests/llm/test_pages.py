@@ -122,6 +122,9 @@ def test_paragraphs_that_are_links_stay_in_the_main_slot():
     many = [page.replace("More", f"More of {i} {i}") for i in range(5)]
     assert pages.extract(many) == [f"More of {i} {i} words than links" for i in range(5)]
 
+    listed = page.replace("</p></div><ul>", "</p><ul><li><a href='/r'>Read</a></li><li><a href='/s'>also</a></li></ul><ul><li>A point</li><li><a href='/t'>Another</a></li></ul></div><ul>")
+    assert pages.extract([listed]) == ["T\n\nwhole paragraph\n\nMore words than links\n\nA point\n\nAnother"]
+
 
 def test_deep_nesting_in_time_and_memory():
     import time
